@@ -131,7 +131,6 @@ def _anchors(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, offsets = utf8(batch.column(2))
-            ids, keys = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
             for piece in _pieces(offsets, length):
                 data = np.concatenate([raw[s:e] for _, s, e in piece])
                 ends = np.cumsum([e - s for _, s, e in piece])
@@ -139,7 +138,7 @@ def _anchors(length: int):
                 row = np.array([r for r, _, _ in piece])[text]
                 shift = np.array([s - offsets[r] for r, s, _ in piece])[text] - np.concatenate([[0], ends[:-1]])[text]
                 yield pa.record_batch(
-                    [pa.array(ids[row]), pa.array(keys[row]), pa.array((at + shift).astype(np.int32)), pa.array((at - lo).astype(np.int16)), pa.array((hi - at).astype(np.int16)), pa.array(ah), pa.array(ch)],
+                    [batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)), pa.array((at + shift).astype(np.int32)), pa.array((at - lo).astype(np.int16)), pa.array((hi - at).astype(np.int16)), pa.array(ah), pa.array(ch)],
                     names=["id", "dk", "pos", "lo", "hi", "ah", "ch"],
                 )
 
