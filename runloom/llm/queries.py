@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from runloom.llm.bpe import op9_bpe
+from runloom.llm.line_dedup import OP2_SQL, op2_line_dedup
+from runloom.llm.simhash import op10_simhash
 from runloom.llm.suffix_dedup import op1_suffix_dedup
 
-QUERIES = {f.__name__: f for f in (op1_suffix_dedup,)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_line_dedup, op9_bpe, op10_simhash)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_line_dedup": OP2_SQL}

@@ -26,7 +26,6 @@ itself compares bytes.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -408,7 +407,3 @@ def brute_force(texts: list[bytes], length: int) -> list[bytes]:
                 gone[i : i + length] = b"\x01" * length
         out.append(bytes(b for b, g in zip(t, gone, strict=True) if not g))
     return out
-
-
-def sha256(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()
