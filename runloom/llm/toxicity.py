@@ -30,6 +30,8 @@ BUCKETS = 1 << 24
 PER_CLASS, MAX_BYTES = 6000, 1 << 17
 #: Training texts that must hold a word.
 MIN_TEXTS = 3
+#: Texts at the classes' shares that a word is taken to have been in already, for its first log odds.
+SHRINK = 20
 EPOCHS, BATCH, RATE = 4, 64, 0.05
 CACHE = 200_000
 #: Words that are scored at once.
@@ -136,13 +138,13 @@ def fit(texts: list[str], labels: np.ndarray, langs: list[str | None], class_siz
     prior = float(np.clip(labels[train].mean() if len(train) else 0.5, 0.02, 0.98))
     pos = np.array([toxic[b] for b in buckets.tolist()], np.float64)
     neg = np.array([seen[b] for b in buckets.tolist()], np.float64) - pos
-    odds = np.log((pos + 5 * prior) / (neg + 5 * (1 - prior))) - np.log(prior / (1 - prior))
+    odds = np.log((pos + SHRINK * prior) / (neg + SHRINK * (1 - prior))) - np.log(prior / (1 - prior))
     axis = rng.normal(size=DIM)
     axis /= np.linalg.norm(axis)
     emb = np.zeros((len(buckets) + 1, DIM), np.float32)
     emb[1:] = 0.5 * odds[:, None] * axis + rng.normal(scale=0.02, size=(len(buckets), DIM))
     filters = {w: (rng.normal(scale=0.1, size=(w, DIM, FILTERS)) + axis[None, :, None] / w).astype(np.float32) for w in WIDTHS}
-    model = Model(buckets, emb, filters, {w: np.full(FILTERS, -0.5, np.float32) for w in WIDTHS}, np.full(len(WIDTHS) * FILTERS, 1.5 / (len(WIDTHS) * FILTERS), np.float32), -1.0)
+    model = Model(buckets, emb, filters, {w: np.full(FILTERS, -1.0, np.float32) for w in WIDTHS}, np.full(len(WIDTHS) * FILTERS, 1.5 / (len(WIDTHS) * FILTERS), np.float32), -1.0)
     # Weights bring the sample back to the share that each class has among the labels.
     share = {y: class_sizes.get(y, 0) / max((labels == y).sum(), 1) for y in (0, 1)} if class_sizes else {0: 1.0, 1: 1.0}
     top = max(share.values()) or 1.0
