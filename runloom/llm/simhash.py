@@ -246,6 +246,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(found, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def one_of_each(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The documents of ``docs`` whose id is their group's component_id, one row an id; rows without an id stay."""
+    kept = groups.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__kept")).distinct()
+    named = docs.filter(F.col(id_col).isNotNull())
+    chosen = named.join(kept, named[id_col] == kept["__kept"], "left_semi").dropDuplicates([id_col])
+    return chosen.unionAll(docs.filter(F.col(id_col).isNull()))
+
+
 def op10_simhash(spark, sf_dir):
     """Fingerprint and near-duplicate group of every document, by three-word shingles within two bits."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))

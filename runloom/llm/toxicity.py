@@ -18,6 +18,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -265,6 +266,24 @@ def fit_documents(docs: DataFrame, labels: DataFrame, keep, id_col: str = "doc_i
     return fit(frame["text"].tolist(), frame["y"].to_numpy(), frame["lang"].tolist(), sizes)
 
 
+def reject_toxic(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str | None = "lang") -> DataFrame:
+    """The rows that the model does not flag at their language's threshold, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    arrow_batches(docs.sparkSession)
+
+    @F.pandas_udf("boolean")
+    def flagged(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        own: Model = shared.value
+        rows, tables = own.rows(), own._tables()
+        for text, lang in batches:
+            ids = [np.array(list(map(rows.__getitem__, words_of(t or ""))), np.int64) for t in text]
+            limit = np.array([own.thresholds.get(x, own.threshold) for x in lang])
+            yield pd.Series(own.score(ids, tables) >= limit)
+
+    lang = F.col(lang_col).cast("string") if lang_col else F.lit(None).cast("string")
+    return docs.filter(~flagged(F.col(text_col), lang))
+
+
 def op3_toxicity(spark, sf_dir):
     """Toxicity score of every document; fitted on labelled rows outside fold 2 of 4."""
     docs, labels = spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")
