@@ -11,7 +11,7 @@ constraint then holds if it holds for any of them.
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from typing import Any
 
 import pandas as pd
@@ -136,6 +136,18 @@ def holds(field: str, constraint: Any, columns: Mapping[str, Column], variant: C
     return F.exists(value, lambda x: _holds(x, constraint, True))
 
 
+def _meets(where: Mapping[str, Any]) -> Callable[[Column], Column]:
+    """Whether one VARIANT is an object that meets all constraints."""
+
+    def good(x: Column) -> Column:
+        ok = F.schema_of_variant(x).startswith("OBJECT")
+        for name, constraint in where.items():
+            ok = ok & holds(name, constraint, {}, x)
+        return ok
+
+    return good
+
+
 def where_any(item: Mapping[str, Any], variant: Column) -> Column:
     """All checks must find one object in their collection that meets all of its constraints at once."""
     checks = item.get("where_any")
@@ -150,14 +162,7 @@ def where_any(item: Mapping[str, Any], variant: Column) -> Column:
             F.coalesce(F.try_variant_get(value, "$", "array<variant>"), F.map_values(F.try_variant_get(value, "$", "map<string,variant>")), F.array(value))
         )
 
-        def good(x: Column, where: Mapping[str, Any] = check["where"]) -> Column:
-            ok = F.schema_of_variant(x).startswith("OBJECT")
-            for name, constraint in where.items():
-                v, star = path(x, name.split("."))
-                ok = ok & (F.exists(v, lambda y, c=constraint: _holds(y, c, True)) if star else _holds(v, constraint, True))
-            return ok
-
-        out = out & F.exists(inside, good)
+        out = out & F.exists(inside, _meets(check["where"]))
     return out
 
 

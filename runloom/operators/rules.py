@@ -14,6 +14,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, functions as F
 
 from runloom.functions.predicates import PredicateError, event_predicate, state_predicate, text_predicate
+from runloom.session import checkpointed
 
 #: Fixed values of the contract: rule ids with their penalties, in order. Every rule is critical.
 PENALTIES = {
@@ -168,17 +169,12 @@ def evaluate(events: DataFrame, runs: DataFrame, scenario: Mapping[str, Any]) ->
 
 def rule_rows(evaluated: DataFrame) -> DataFrame:
     """One row for each run and rule: passed, its penalty, and how many of its items failed; a rule without items passes."""
-    found = F.array(
-        *[
-            F.struct(
-                F.lit(rule).alias("rule_id"),
-                F.lit(penalty).alias("penalty"),
-                F.forall(F.filter("items", lambda x, r=rule: x["rule_id"] == r), lambda x: x["passed"]).alias("passed"),
-                F.size(F.filter("items", lambda x, r=rule: (x["rule_id"] == r) & ~x["passed"])).cast("long").alias("failed_items"),
-            )
-            for rule, penalty in PENALTIES.items()
-        ]
-    )
+
+    def row(rule: str, penalty: int) -> Column:
+        failed = F.size(F.filter("items", lambda x: (x["rule_id"] == rule) & ~x["passed"])).cast("long")
+        return F.struct(F.lit(rule).alias("rule_id"), F.lit(penalty).alias("penalty"), (failed == 0).alias("passed"), failed.alias("failed_items"))
+
+    found = F.array(*[row(rule, penalty) for rule, penalty in PENALTIES.items()])
     rest = [c for c in evaluated.columns if c != "items"]
     return evaluated.select(*rest, F.inline(found))
 
@@ -205,8 +201,8 @@ def subagent_depth(events: DataFrame, max_depth: int = 64) -> DataFrame:
     walk = edges.select("run_id", F.col("parent").alias("at"), F.array("child", "parent").alias("seen"), F.lit(1).alias("depth"))
     found = [walk.select("run_id", "depth")]
     for _ in range(max_depth):
-        step = walk.join(edges, (walk.run_id == edges.run_id) & (walk["at"] == edges.child)).filter(~F.array_contains(walk.seen, edges.parent))
-        walk = step.select(walk.run_id, edges.parent.alias("at"), F.concat(walk.seen, F.array(edges.parent)).alias("seen"), (walk.depth + 1).alias("depth"))
+        step = walk.alias("w").join(edges.alias("e"), (F.col("w.run_id") == F.col("e.run_id")) & (F.col("w.at") == F.col("e.child"))).filter(~F.array_contains("w.seen", F.col("e.parent")))
+        walk = checkpointed(step.select("w.run_id", F.col("e.parent").alias("at"), F.concat("w.seen", F.array("e.parent")).alias("seen"), (F.col("w.depth") + 1).alias("depth")))
         if walk.isEmpty():
             break
         found.append(walk.select("run_id", "depth"))
