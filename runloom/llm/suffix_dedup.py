@@ -321,10 +321,12 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, length: int, hot
     arrow_batches(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("dk"), F.col(text_col).alias("text"))
     found = written(base.filter(F.octet_length("text") >= length).mapInArrow(_anchors(length), _ANCHORS))
-    again = found.groupBy("ah").agg(F.count("*").alias("n")).filter("n > 1").select("ah")
+    # Written, so that the joins below are between plain exchanges, whose hot partitions Spark splits.
+    again = written(found.groupBy("ah").agg(F.count("*").alias("n")).filter("n > 1").select("ah"))
     open_ = written(found.join(again, "ah"))
     contexts = open_.groupBy("ah", "ch").agg(F.count("*").alias("n"), F.min(F.struct("id", "dk", "pos", "lo", "hi")).alias("rep"))
-    state = contexts.groupBy("ah").agg(F.count("*").alias("kinds"), F.max(F.col("n") == 1).alias("left")).filter("kinds > 1 and left")
+    contexts = written(contexts)
+    state = written(contexts.groupBy("ah").agg(F.count("*").alias("kinds"), F.max(F.col("n") == 1).alias("left")).filter("kinds > 1 and left"))
     todo = written(contexts.join(state, "ah").select("ah", "ch", "n", "rep.*", (F.col("kinds") > hot).alias("hot")))
     keyed = base.mapInArrow(_pack, "id long, dk long, z binary")
     asked = todo.groupBy("id", "dk").agg(F.collect_list(F.struct("ah", "ch", "pos", "lo", "hi", "hot")).alias("wanted"))
@@ -341,7 +343,7 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, length: int, hot
     narrow = single.join(twice, ["ah", "at", "w1", "w2"]).select("ah", "ch", F.col("at").alias("a"), F.col("at").alias("b"))
     part = runs.unionAll(narrow).groupBy("ah", "ch").agg(F.collect_set(F.struct("a", "b")).alias("runs"))
     whole = contexts.filter("n > 1").select("ah", "ch", F.lit(True).alias("whole"))
-    verdict = whole.join(part, ["ah", "ch"], "full")
+    verdict = written(whole.join(part, ["ah", "ch"], "full"))
     hits = open_.join(verdict, ["ah", "ch"])
     ranges = F.when(F.col("whole"), F.array(F.struct((-F.col("lo").cast("int")).alias("a"), F.col("hi").cast("int").alias("b")))).otherwise(F.col("runs"))
     hits = hits.select("id", "dk", "pos", F.explode(ranges).alias("r"))
