@@ -16,6 +16,7 @@ from typing import Any
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import StringType
 
 OPERATORS = ("equals", "contains", "matches", "present")
 
@@ -24,7 +25,7 @@ class PredicateError(ValueError):
     """A predicate that cannot be compiled; raised before any data is read."""
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def spaced_json(text: pd.Series) -> pd.Series:
     """JSON with sorted keys and a space after each separator."""
     return text.map(lambda t: None if t is None else json.dumps(json.loads(t), sort_keys=True, ensure_ascii=False))
