@@ -13,7 +13,6 @@ each language on training rows that the weights were not fitted to.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -30,9 +29,9 @@ BUCKETS = 1 << 24
 #: Labelled rows of each class that a model is fitted on at most, and bytes of the longest text among them.
 PER_CLASS, MAX_BYTES = 6000, 1 << 17
 #: Training texts that must hold a word.
-MIN_TEXTS = 3
-#: Texts at the classes' shares that a word is taken to have been in already, for its first log odds.
-SHRINK = 20
+MIN_TEXTS = 2
+#: For each so many toxic texts, a text at the classes' shares that a word is taken to have been in already; 20 at most.
+SHRINK = 80
 EPOCHS, BATCH, RATE = 4, 64, 0.05
 CACHE = 200_000
 #: Words that are scored at once.
@@ -125,21 +124,22 @@ def fit(texts: list[str], labels: np.ndarray, langs: list[str | None], class_siz
     n = len(texts)
     hold = np.zeros(n, bool)
     hold[rng.permutation(n)[: n // 5]] = True
-    words = [words_of(t) for t in texts]
-    hashed = [np.array([zlib.crc32(w) % BUCKETS for w in ws], np.int64) for ws in words]
-    del words
+    hashed = [np.fromiter((zlib.crc32(w) % BUCKETS for w in words_of(t)), np.int32) for t in texts]
     train = np.flatnonzero(~hold)
-    seen, toxic = Counter(), Counter()
-    for k in train.tolist():
-        own = np.unique(hashed[k]).tolist()
-        seen.update(own)
-        if labels[k]:
-            toxic.update(own)
-    buckets = np.array(sorted(b for b, c in seen.items() if c >= MIN_TEXTS), np.int64)
+    own = [np.unique(hashed[k]) for k in train.tolist()]
+    none = np.empty(0, np.int32)
+    seen, texts_with = np.unique(np.concatenate([none, *own]), return_counts=True)
+    common = texts_with >= MIN_TEXTS
+    buckets = seen[common].astype(np.int64)
+    bad, bad_texts = np.unique(np.concatenate([none, *(x for k, x in zip(train.tolist(), own, strict=True) if labels[k])]), return_counts=True)
+    del own
     prior = float(np.clip(labels[train].mean() if len(train) else 0.5, 0.02, 0.98))
-    pos = np.array([toxic[b] for b in buckets.tolist()], np.float64)
-    neg = np.array([seen[b] for b in buckets.tolist()], np.float64) - pos
-    odds = np.log((pos + SHRINK * prior) / (neg + SHRINK * (1 - prior))) - np.log(prior / (1 - prior))
+    pos = np.zeros(len(buckets))
+    there = np.isin(bad, buckets, assume_unique=True)
+    pos[np.searchsorted(buckets, bad[there])] = bad_texts[there]
+    neg = texts_with[common] - pos
+    shrink = float(np.clip(labels[train].sum() / SHRINK, 1, 20))
+    odds = np.log((pos + shrink * prior) / (neg + shrink * (1 - prior))) - np.log(prior / (1 - prior))
     axis = rng.normal(size=DIM)
     axis /= np.linalg.norm(axis)
     emb = np.zeros((len(buckets) + 1, DIM), np.float32)
@@ -151,10 +151,10 @@ def fit(texts: list[str], labels: np.ndarray, langs: list[str | None], class_siz
     top = max(share.values()) or 1.0
     weight = np.array([max(share[int(y)] / top, 0.2) for y in labels], np.float32)
     ids = []
-    for h in hashed:
+    for k, h in enumerate(hashed):
         at = np.minimum(np.searchsorted(buckets, h), max(len(buckets) - 1, 0))
-        ids.append(np.where(buckets[at] == h, at + 1, 0) if len(buckets) else np.zeros(len(h), np.int64))
-    del hashed
+        ids.append((np.where(buckets[at] == h, at + 1, 0) if len(buckets) else np.zeros(len(h))).astype(np.int32))
+        hashed[k] = none
     _train(model, ids, labels, weight, train, rng)
     _calibrate(model, model.score([ids[k] for k in np.flatnonzero(hold)]), labels[hold], weight[hold], [langs[k] for k in np.flatnonzero(hold)])
     return model
