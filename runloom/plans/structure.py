@@ -1 +1,79 @@
-"""Placeholder."""
+"""Queries over JSON structure, checksums and evidence links."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from runloom.functions import text as T
+from runloom.operators import structure as S
+from runloom.plans.registry import query, with_
+from runloom.plans.traces import scored
+from runloom.plans.views import SCORES_SQL
+from runloom.session import load
+
+
+def _states(spark, sf_dir):
+    k, bal = F.col("c_custkey"), F.floor("c_acctbal").cast("long")
+    before = F.to_json(F.struct(F.struct(bal.alias("balance"), F.col("c_mktsegment").alias("segment")).alias("account"), F.array(k % 3, k % 5).alias("tags")))
+    after = F.to_json(F.struct(F.struct((bal + F.when(k % 4 == 0, 1).otherwise(0)).alias("balance"), F.when(k % 7 != 0, F.col("c_mktsegment")).alias("segment")).alias("account"), F.when(k % 6 == 0, F.array(k % 3)).otherwise(F.array(k % 3, k % 5)).alias("tags")))
+    return load(spark, sf_dir, "customer").select(k.alias("run_id"), before.alias("before"), F.when(k % 50 != 0, after).alias("after"))
+
+
+@query(
+    """with c as (select c_custkey as run_id, c_custkey as k, floor(c_acctbal)::bigint as bal, c_mktsegment as seg from customer where c_custkey % 50 <> 0)
+select run_id, '$.account.balance' as path, bal::varchar as before_value, (bal + 1)::varchar as after_value, 'changed' as change from c where k % 4 = 0
+union all select run_id, '$.account.segment', '"' || seg || '"', null, 'removed' from c where k % 7 = 0
+union all select run_id, '$.tags[1]', (k % 5)::varchar, null, 'removed' from c where k % 6 = 0"""
+)
+def state_diff_leaves(spark, sf_dir):
+    return S.state_diff(_states(spark, sf_dir), "run_id", "before", "after").select("run_id", "path", "before_value", "after_value", "change")
+
+
+@query(
+    """select c_custkey as run_id, case when c_custkey % 50 = 0 then 'unknown' when n > 0 then 'changed' else 'unchanged' end as status, case when c_custkey % 50 = 0 then 0 else n end::bigint as changes, false as truncated
+from (select c_custkey, (c_custkey % 4 = 0)::integer + (c_custkey % 7 = 0)::integer + (c_custkey % 6 = 0)::integer as n from customer)"""
+)
+def state_diff_status(spark, sf_dir):
+    return S.diff_status(_states(spark, sf_dir), "run_id", "before", "after")
+
+
+_SCHEMA = {"type": "object", "required": ["k"], "properties": {"k": {"type": "integer", "minimum": 10, "maximum": 60}}, "additionalProperties": False}
+
+
+@query("select event_id, case when k < 10 then '$.k: breaks minimum' when k > 60 then '$.k: breaks maximum' end as error from (select event_id, json_extract_string(props, '$.k')::bigint as k from events) where k < 10 or k > 60")
+def contract_validation(spark, sf_dir):
+    rows = load(spark, sf_dir, "events").select("event_id", F.explode(S.contract_errors(F.col("props"), _SCHEMA)).alias("error"))
+    return rows
+
+
+@query("select event_id, sha256('{\"k\":' || json_extract_string(props, '$.k') || '}') as fingerprint from events")
+def canonical_hash(spark, sf_dir):
+    return load(spark, sf_dir, "events").select("event_id", F.sha2(T.canonical_json(F.col("props")), 256).alias("fingerprint"))
+
+
+@query()
+def dataset_checksum(spark, sf_dir):
+    """Order-free checksums; tested to be the same for any order of rows."""
+    return S.checksum(load(spark, sf_dir, "orders").withColumn("day", F.col("o_orderdate").cast("string")), "o_orderstatus", ["o_orderkey", "o_custkey", "day"])
+
+
+@query("select doc_id, unnest(list_filter(['Licensed', 'token', 'rights'], lambda x: contains(text, x))) as literal from documents")
+def forbidden_text_audit(spark, sf_dir):
+    return S.forbidden_text(load(spark, sf_dir, "documents"), "doc_id", "text", ["Licensed", "token", "rights"])
+
+
+@query(with_(SCORES_SQL, "select run_id, 'required_action_sequences' as rule_id, 'look_call_result' as item_id, result_after.at as event_index from result_after union all select h.run_id, 'required_evidence', 'looked', first_look from hits h where first_look is not null"))
+def evidence_links(spark, sf_dir):
+    rows = S.evidence_links(scored(spark, sf_dir), "run_id").filter("item_id in ('looked', 'look_call_result')")
+    return rows.select("run_id", "rule_id", "item_id", "event_index")
+
+
+@query("select doc_id, n_chars, case when n_chars <= 256 then 'short' when n_chars <= 1024 then 'medium' when n_chars <= 4096 then 'long' else 'xlarge' end as bucket, n_chars > 80 as truncated from documents")
+def length_buckets(spark, sf_dir):
+    rows = load(spark, sf_dir, "documents").withColumn("p", T.preview(F.col("text")))
+    return rows.select("doc_id", "n_chars", T.length_bucket(F.col("n_chars")).alias("bucket"), F.col("p.truncated").alias("truncated"))
+
+
+@query("select p_partkey, round(('0x' || substr(sha256(p_name), 1, 16))::ubigint::double / 18446744073709551616.0::double, 9) as u from part")
+def hash_to_unit(spark, sf_dir):
+    return load(spark, sf_dir, "part").select("p_partkey", F.round(T.unit_interval(F.col("p_name")), 9).alias("u"))
