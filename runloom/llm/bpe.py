@@ -19,7 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from runloom.llm.common import arrow_batches, require, utf8
+from runloom.llm.common import arrow_batches, arrow_map, require, utf8
 
 LONG = 256
 #: Pieces that a worker remembers.
@@ -218,7 +218,7 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id
     """
     require(docs, id_col, text_col)
     arrow_batches(docs.sparkSession)
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col)).mapInArrow(_encode(path, pattern), "id long, ids binary").withColumnRenamed("id", id_col)
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col)).transform(arrow_map, _encode(path, pattern), "id long, ids binary").withColumnRenamed("id", id_col)
 
 
 def _decode(path: str, pattern: str):
@@ -236,7 +236,7 @@ def _decode(path: str, pattern: str):
 def decode_ids(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_id") -> DataFrame:
     """``(id_col, ids, decoded binary)`` from rows of ``(id_col, ids)``; null ids count as none."""
     require(encoded, id_col, "ids")
-    return encoded.select(F.col(id_col).alias("id"), "ids").mapInArrow(_decode(path, pattern), "id long, ids binary, decoded binary").withColumnRenamed("id", id_col)
+    return encoded.select(F.col(id_col).alias("id"), "ids").transform(arrow_map, _decode(path, pattern), "id long, ids binary, decoded binary").withColumnRenamed("id", id_col)
 
 
 def op9_bpe(spark, sf_dir):

@@ -10,12 +10,9 @@ aggregate row and a skewed join side.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from runloom.llm.common import arrow_batches, require
+from runloom.llm.common import require
 
 WINDOW = 3
 #: What stands for a null id while windows are ordered.
@@ -46,21 +43,26 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return late.groupBy("id", "dk").agg(F.collect_set("pos").alias("starts"))
 
 
-def _cut(width: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for i, text, starts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                lines = (text or "").split("\n")
-                gone = bytearray(len(lines))
-                for s in starts or ():
-                    gone[s : s + width] = b"\x01" * width
-                kept = lines if not starts else [x for x, g in zip(lines, gone, strict=True) if not g]
-                out.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
-            columns = list(zip(*out, strict=True)) or [()] * 4
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.string()), strict=True)], names=["id", "n_lines", "n_removed", "kept"])
+def _kept_lines(text: Column, starts: Column, width: int) -> Column:
+    """(n_lines, n_removed, kept text) as a struct; positions that marked windows cover are merged by a set difference, in linear time."""
+
+    def cut(p: Column) -> Column:
+        # p binds the lines and the covered positions once.
+        keep = F.array_except(F.sequence(F.lit(0), F.size(p["lines"]) - 1), p["gone"])
+        return F.struct(F.size(p["lines"]).cast("long").alias("n_lines"), (F.size(p["lines"]) - F.size(keep)).cast("long").alias("n_removed"), F.array_join(F.transform(keep, lambda k: p["lines"][k]), "\n").alias("kept"))
+
+    lines = F.split(text, "\n", -1)
+    gone = F.array_distinct(F.flatten(F.transform(starts, lambda s: F.sequence(s, s + (width - 1)))))
+    whole = F.struct(F.size(lines).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_removed"), text.alias("kept"))
+    return F.when(starts.isNull(), whole).otherwise(F.transform(F.array(F.struct(lines.alias("lines"), gone.alias("gone"))), cut)[0])
+
 
-    return run
+def _marked(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """``docs`` with the starts of its later windows as ``__starts``, null where it has none."""
+    require(docs, id_col, text_col)
+    starts = repeated_windows(docs, id_col, text_col, width).select(F.col("id").alias("__id"), F.col("dk").alias("__k"), F.col("starts").alias("__starts"))
+    keyed = docs.withColumn("__d", F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))).withColumn("__x", F.xxhash64(text_col))
+    return keyed.join(starts, (F.col("__d") == F.col("__id")) & (F.col("__x") == F.col("__k")), "left")
 
 
 def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WINDOW) -> DataFrame:
@@ -69,35 +71,19 @@ def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Lines end at LF; null text counts as the empty text, which is one empty
     line; texts of fewer than ``width`` lines hold no window; blank lines count
     as lines. Rows that share an id count as one document, so equal windows at
-    the same line of both are one occurrence; null ids come first. Other columns are not read. An empty
-    table gives an empty result.
+    the same line of both are one occurrence; null ids come first. Other columns
+    are not read. An empty table gives an empty result.
     """
     require(docs, id_col, text_col)
-    arrow_batches(docs.sparkSession)
-    starts = repeated_windows(docs, id_col, text_col, width).alias("s")
-    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("key"), F.xxhash64(text_col).alias("dk")).alias("d")
-    both = base.join(starts, (F.col("d.key") == F.col("s.id")) & (F.col("d.dk") == F.col("s.dk")), "left").select("d.id", "d.text", "s.starts")
-    return both.mapInArrow(_cut(width), "id long, n_lines long, n_removed long, kept string").withColumnRenamed("id", id_col)
+    rows = _marked(docs.select(id_col, text_col), id_col, text_col, width)
+    return rows.select(F.col(id_col), F.inline(F.array(_kept_lines(F.coalesce(text_col, F.lit("")), F.col("__starts"), width))))
 
 
 def remove_repeated_lines_from(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WINDOW) -> DataFrame:
-    """The documents without those lines; other columns stay as they are."""
-    arrow_batches(docs.sparkSession)
-    starts = repeated_windows(docs, id_col, text_col, width).select(F.col("id").alias("__id"), F.col("dk").alias("__k"), F.col("starts").alias("__starts"))
-
-    @F.pandas_udf("string")
-    def cut(text, marked):
-        out = []
-        for t, s in zip(text, marked, strict=True):
-            lines = t.split("\n")
-            gone = {k for a in s for k in range(a, a + width)}
-            out.append("\n".join(x for k, x in enumerate(lines) if k not in gone))
-        return type(text)(out)
-
-    keyed = docs.withColumn("__d", F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))).withColumn("__x", F.xxhash64(text_col))
-    both = keyed.join(starts, (F.col("__d") == F.col("__id")) & (F.col("__x") == F.col("__k")), "left")
-    hit = both.filter("__starts is not null").withColumn(text_col, cut(text_col, "__starts"))
-    return both.filter("__starts is null").select(*docs.columns).unionAll(hit.select(*docs.columns))
+    """The documents without those lines; a null text and all other columns stay as they are."""
+    rows = _marked(docs, id_col, text_col, width)
+    text = F.when(F.col("__starts").isNull(), F.col(text_col)).otherwise(_kept_lines(F.coalesce(text_col, F.lit("")), F.col("__starts"), width)["kept"])
+    return rows.select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
 
 
 def op2_line_dedup(spark, sf_dir):

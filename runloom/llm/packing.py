@@ -22,7 +22,7 @@ import zlib
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from runloom.llm.common import arrow_batches, require
+from runloom.llm.common import arrow_batches, arrow_map, require
 
 CAPACITY = 2048
 #: Windows that one block fills, and pieces of a window that a document's rest is cut to: differencing needs
@@ -45,7 +45,7 @@ def encoder(path: str) -> Callable[[str], np.ndarray]:
     plain = (
         model.get("type", "BPE") == "BPE" and '"ByteLevel"' in pre and "Split" not in pre and '"add_prefix_space": true' not in pre and not spec.get("normalizer")
         and not model.get("dropout") and not model.get("ignore_merges") and not model.get("continuing_subword_prefix") and not model.get("end_of_word_suffix")
-        and all(vocab.get(a + b) == 256 + i for i, (a, b) in enumerate(merges))
+        and len(vocab.keys() - {t["content"] for t in added}) == 256 + len(merges) and all(vocab.get(a + b) == 256 + i for i, (a, b) in enumerate(merges))
         and all(not (t.get("normalized") or t.get("lstrip") or t.get("rstrip") or t.get("single_word")) for t in added)
     )
     if not plain:
@@ -182,7 +182,7 @@ def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id:
     """
     require(docs, id_col, text_col)
     arrow_batches(docs.sparkSession)
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col)).mapInArrow(_packed(path, capacity, end_id, block_windows), _PIECES).withColumnRenamed("id", id_col)
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col)).transform(arrow_map, _packed(path, capacity, end_id, block_windows), _PIECES).withColumnRenamed("id", id_col)
 
 
 def op4_packing(spark, sf_dir):

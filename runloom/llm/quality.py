@@ -17,14 +17,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from runloom.llm.common import RollingHash, arrow_batches, mix64, require
+from runloom.llm.common import RollingHash, arrow_batches, arrow_map, mix64, require
 from runloom.llm.labelled import fold, labelled_sample
 
 BITS, DIM, GRAMS = 18, 8, (3, 4)
 PER_CLASS, MAX_BYTES = 3000, 1 << 17
 EPOCHS, RATE = 4, 0.5
 #: Bytes of text that are hashed at once; longer texts come in parts that overlap by the longest n-gram.
-CHUNK = 1 << 19
+CHUNK = 1 << 18
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -171,7 +171,7 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
     arrow_batches(spark)
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(_scored(spark.sparkContext.broadcast(model)), f"id {kind}, score double").withColumnRenamed("id", id_col)
+    return rows.transform(arrow_map, _scored(spark.sparkContext.broadcast(model)), f"id {kind}, score double").withColumnRenamed("id", id_col)
 
 
 def fit_documents(docs: DataFrame, labels: DataFrame, keep, id_col: str = "doc_id", text_col: str = "text", per_class: int = PER_CLASS, max_bytes: int = MAX_BYTES) -> Model:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from collections.abc import Iterator
 from pyspark.sql import DataFrame, functions as F
 
-from runloom.llm.common import arrow_batches, require
+from runloom.llm.common import arrow_batches, arrow_map, require
 from runloom.llm.vectors import components, finite, valid_vectors
 from runloom.operators.graph import connected_components
 from runloom.session import checkpointed, written
@@ -137,7 +137,7 @@ def range_join(nodes: DataFrame, cosine: float = COSINE) -> DataFrame:
         chosen = nodes.filter(F.col("dim") == dim).orderBy(F.xxhash64("rep"), "rep").limit(most).select("vector").collect()
         pivots[dim] = _scaled(np.array([x["vector"] for x in chosen], np.float64))
     kind = "rep long, n long, vector array<double>, dim int, cell int, d double"
-    placed = written(nodes.select("rep", "n", "vector", "dim").mapInArrow(_homes(pivots), kind))
+    placed = written(nodes.select("rep", "n", "vector", "dim").transform(arrow_map, _homes(pivots), kind))
     radius = {dim: np.full(len(p), -np.inf) for dim, p in pivots.items()}
     home_blocks = {dim: np.ones(len(p), np.int64) for dim, p in pivots.items()}
     for x in placed.groupBy("dim", "cell").agg(F.max("d").alias("d"), F.count("*").alias("n")).collect():  # PIVOTS rows at most
@@ -145,7 +145,7 @@ def range_join(nodes: DataFrame, cosine: float = COSINE) -> DataFrame:
         home_blocks[x["dim"]][x["cell"]] = -(-x["n"] // BLOCK)
     visit_blocks = {dim: max(1, -(-n // BLOCK)) for dim, n in sizes.items()}
     schema = "dim int, cell int, hb int, vb int, home boolean, rep long, n long, vector array<double>"
-    copies = placed.mapInArrow(_copies(pivots, radius, home_blocks, visit_blocks, r), schema)
+    copies = placed.transform(arrow_map, _copies(pivots, radius, home_blocks, visit_blocks, r), schema)
     return copies.groupBy("dim", "cell", "hb", "vb").applyInPandas(_join_block(cosine), "a long, b long, links long")
 
 

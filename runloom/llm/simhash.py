@@ -30,7 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from runloom.llm.common import arrow_batches, require, utf8
+from runloom.llm.common import arrow_batches, arrow_map, require, utf8
 from runloom.operators.graph import connected_components
 from runloom.session import checkpointed, written
 
@@ -74,7 +74,7 @@ def _fingerprints(shingle: int, seed: int):
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """``(id, fp)`` with fp as a signed 64-bit integer."""
     arrow_batches(docs.sparkSession)
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(_fingerprints(shingle, seed), "id long, fp long")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).transform(arrow_map, _fingerprints(shingle, seed), "id long, fp long")
 
 
 def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,7 +119,7 @@ def allocate(cost: list[dict[int, float]], total: int) -> list[int]:
 
 def plan(nodes: DataFrame, radius: int, parts: int) -> list[tuple[list[int], int]]:
     """(bits, threshold) of each partition, from statistics of all fingerprints."""
-    rows = nodes.select("fp").mapInArrow(_bits, "n long, both array<long>")
+    rows = nodes.select("fp").transform(arrow_map, _bits, "n long, both array<long>")
     total = rows.select("n", F.posexplode("both").alias("k", "c")).groupBy("k").agg(F.sum("c").alias("c"), F.sum("n").alias("n")).collect()  # 4,096 rows
     n = max((r["n"] for r in total), default=0)
     both = np.zeros(64 * 64)
@@ -211,7 +211,7 @@ def links(nodes: DataFrame, radius: int = RADIUS, parts: int = PARTITIONS, hot:
     rows = nodes.select("fp", F.explode(F.array(*probes)).alias("x")).select("x.*", "fp")
     sizes = rows.groupBy("i", "value").agg(F.count("*").alias("n"), F.min("visit").alias("alone")).filter("n > 1 and not alone")
     met = written(rows.join(sizes.select("i", "value", (F.col("n") > hot).alias("hot")), ["i", "value"]))
-    calm = met.filter("not hot").select("i", "value", "visit", "fp").repartition("i", "value").sortWithinPartitions("i", "value").mapInArrow(_forest(radius), "a long, b long")
+    calm = met.filter("not hot").select("i", "value", "visit", "fp").repartition("i", "value").sortWithinPartitions("i", "value").transform(arrow_map, _forest(radius), "a long, b long")
     if radius > 2:
         raise ValueError("buckets over the bound are exact for a radius of 2 at most")
     crowd = met.filter("hot").select("fp").distinct()

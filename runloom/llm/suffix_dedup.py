@@ -34,13 +34,13 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from runloom.llm.common import RollingHash, arrow_batches, require, utf8
+from runloom.llm.common import RollingHash, arrow_batches, arrow_map, require, utf8
 from runloom.session import written
 
 #: Bytes of the anchor k-gram, and the window starts that are handled at once.
-GRAM, PIECE = 100, 1 << 19
+GRAM, PIECE = 100, 1 << 18
 #: Modulus of the difference cover. Contexts of a block, in bytes.
-COVER, BLOCK = 31, 1 << 20
+COVER, BLOCK = 31, 1 << 19
 HOT = 4096
 
 
@@ -320,7 +320,7 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, length: int, hot
     """``(keyed, spans)``: documents as (id, dk, z) and repeated byte ranges as (id, dk, spans)."""
     arrow_batches(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("dk"), F.col(text_col).alias("text"))
-    found = written(base.filter(F.octet_length("text") >= length).mapInArrow(_anchors(length), _ANCHORS))
+    found = written(base.filter(F.octet_length("text") >= length).transform(arrow_map, _anchors(length), _ANCHORS))
     # Written, so that the joins below are between plain exchanges, whose hot partitions Spark splits.
     again = written(found.groupBy("ah").agg(F.count("*").alias("n")).filter("n > 1").select("ah"))
     open_ = written(found.join(again, "ah"))
@@ -328,16 +328,16 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, length: int, hot
     contexts = written(contexts)
     state = written(contexts.groupBy("ah").agg(F.count("*").alias("kinds"), F.max(F.col("n") == 1).alias("left")).filter("kinds > 1 and left"))
     todo = written(contexts.join(state, "ah").select("ah", "ch", "n", "rep.*", (F.col("kinds") > hot).alias("hot")))
-    keyed = base.mapInArrow(_pack, "id long, dk long, z binary")
+    keyed = base.transform(arrow_map, _pack, "id long, dk long, z binary")
     asked = todo.groupBy("id", "dk").agg(F.collect_list(F.struct("ah", "ch", "pos", "lo", "hi", "hot")).alias("wanted"))
     # A null id is a key like any other.
     k, w = keyed.alias("k"), asked.alias("w")
     texts = k.join(w, F.col("k.id").eqNullSafe(F.col("w.id")) & (F.col("k.dk") == F.col("w.dk"))).select("k.z", "w.wanted")
-    plain = texts.mapInArrow(_cut_contexts(length), "ah long, ch long, lo short, hi short, ctx binary")
+    plain = texts.transform(arrow_map, _cut_contexts(length), "ah long, ch long, lo short, hi short, ctx binary")
     plain = written(plain.join(todo.filter("hot").select("ah").distinct().withColumn("hot", F.lit(True)), "ah", "left"))
     cold = plain.filter("hot is null").select("ah", "ch", "lo", "hi", "ctx")
-    runs = cold.repartition("ah").sortWithinPartitions("ah", "ch", "lo", "hi").mapInArrow(_sorted_runs(length), "ah long, ch long, a int, b int")
-    single = plain.filter("hot").select("ah", "ch", "lo", "hi", "ctx").mapInArrow(_single_windows(length), "ah long, ch long, at int, w1 long, w2 long")
+    runs = cold.repartition("ah").sortWithinPartitions("ah", "ch", "lo", "hi").transform(arrow_map, _sorted_runs(length), "ah long, ch long, a int, b int")
+    single = plain.filter("hot").select("ah", "ch", "lo", "hi", "ctx").transform(arrow_map, _single_windows(length), "ah long, ch long, at int, w1 long, w2 long")
     # Repeated rows send a context twice; the least and greatest context tell whether two differ.
     twice = single.groupBy("ah", "at", "w1", "w2").agg(F.min("ch").alias("x"), F.max("ch").alias("y")).filter("x <> y").select("ah", "at", "w1", "w2")
     narrow = single.join(twice, ["ah", "at", "w1", "w2"]).select("ah", "ch", F.col("at").alias("a"), F.col("at").alias("b"))
@@ -356,7 +356,7 @@ def _kept(docs: DataFrame, id_col: str, text_col: str, length: int, hot: int) ->
     keyed, spans = repeated_spans(docs, id_col, text_col, length, hot)
     k, s = keyed.alias("k"), spans.alias("s")
     both = k.join(s, F.col("k.id").eqNullSafe(F.col("s.id")) & (F.col("k.dk") == F.col("s.dk")), "left").select("k.id", "k.z", "s.spans", "k.dk")
-    return both.mapInArrow(_strip, "id long, n_bytes long, n_removed long, n_spans long, kept binary, dk long")
+    return both.transform(arrow_map, _strip, "id long, n_bytes long, n_removed long, n_spans long, kept binary, dk long")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, hot: int = HOT) -> DataFrame:

@@ -22,7 +22,7 @@ from importlib.metadata import version
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from runloom.llm.common import arrow_batches, require
+from runloom.llm.common import arrow_batches, arrow_map, require
 from runloom.session import shared_dir
 
 LIMIT = 512
@@ -101,7 +101,7 @@ def count_tokens(docs: DataFrame, path: str, cache: str, id_col: str = "doc_id",
     place = F.coalesce(F.xxhash64("id"), F.lit(0))
     chosen = rows.select("digest", place.alias("place")).groupBy("digest").agg(F.min("place").alias("place")).join(known, "digest", "left_anti")
     misses = rows.withColumn("place", place).join(chosen, ["digest", "place"], "left_semi").select("digest", "text")
-    counted = misses.mapInArrow(_count(path), "digest string, n_tokens long")
+    counted = misses.transform(arrow_map, _count(path), "digest string, n_tokens long")
     counted.select(F.lit(key).alias("tokenizer"), "digest", "n_tokens").write.mode("append").parquet(cache)
     stored = read_cache(spark, cache).filter(F.col("tokenizer") == key).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
     return rows.select("id", "digest", F.octet_length("text").cast("long").alias("n_bytes")).join(stored, "digest").select(F.col("id").alias(id_col), "n_bytes", "n_tokens")

@@ -21,7 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from runloom.llm.common import arrow_batches, require
+from runloom.llm.common import arrow_batches, arrow_map, require
 from runloom.llm.labelled import fold, labelled_sample
 
 WIDTHS, FILTERS, DIM = (1, 2, 3), 8, 16
@@ -77,16 +77,19 @@ class Model:
 
     def pooled(self, ids: list[np.ndarray], tables: dict[int, list[np.ndarray]]) -> np.ndarray:
         """Maxima of each text; texts of any length, a chunk of words at a time."""
-        edge = np.zeros(max(WIDTHS) - 1, np.int64)
         out = np.zeros((len(ids), len(WIDTHS) * FILTERS), np.float32)
-        for j, w in enumerate(WIDTHS):
-            best = np.full((len(ids), FILTERS), -np.inf, np.float32)
-            for who, flat, starts in _chunks(ids, edge):
+        best = np.full((len(WIDTHS), len(ids), FILTERS), -np.inf, np.float32)
+        for who, flat, starts, sizes, last in _chunks(ids):
+            for j, w in enumerate(WIDTHS):
                 conv = tables[w][0][flat[: len(flat) - w + 1]]
                 for k in range(1, w):
-                    conv = conv + tables[w][k][flat[k : len(flat) - w + 1 + k]]
-                best[who] = np.maximum(best[who], np.maximum.reduceat(conv, starts, axis=0))
-            out[:, j * FILTERS : (j + 1) * FILTERS] = np.maximum(best + self.biases[w], 0)
+                    conv += tables[w][k][flat[k : len(flat) - w + 1 + k]]
+                # A text's windows end with the zeros behind it, a part's where the next part begins.
+                stops = starts + np.where(last, sizes + max(WIDTHS) + 1 - w, sizes)
+                pairs = np.minimum(np.stack([starts, stops], axis=1).ravel(), len(conv) - 1)
+                best[j][who] = np.maximum(best[j][who], np.maximum.reduceat(conv, pairs, axis=0)[::2])
+        for j, w in enumerate(WIDTHS):
+            out[:, j * FILTERS : (j + 1) * FILTERS] = np.maximum(best[j] + self.biases[w], 0)
         return out
 
     def score(self, ids: list[np.ndarray], tables: dict[int, list[np.ndarray]] | None = None) -> np.ndarray:
@@ -94,27 +97,28 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z.astype(np.float64), -40, 40)))
 
 
-def _chunks(ids: list[np.ndarray], edge: np.ndarray) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
-    """(texts, ids with an edge after each, starts) of about CHUNK words; a longer text comes in overlapping parts."""
-    lap = len(edge)
-    who, parts, size = [], [], 0
+def _chunks(ids: list[np.ndarray]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(texts, ids with zeros after each, starts, sizes, whether it is a text's last part) of about CHUNK words."""
+    lap = max(WIDTHS) - 1
+    have, size = [], 0
     for k, x in enumerate(ids):
-        pieces = [x] if len(x) <= CHUNK else [x[s : s + CHUNK + lap] for s in range(0, len(x), CHUNK)]
-        for piece in pieces:
-            if size and size + len(piece) > CHUNK or who and who[-1] == k:
-                yield _joined(who, parts, edge)
-                who, parts, size = [], [], 0
-            who.append(k)
-            parts.append(piece)
-            size += len(piece) + lap
-    if who:
-        yield _joined(who, parts, edge)
+        for s in range(0, max(len(x), 1), CHUNK):
+            last = s + CHUNK >= len(x)
+            if have and (size + CHUNK > 2 * CHUNK or have[-1][0] == k):
+                yield _joined(have)
+                have, size = [], 0
+            have.append((k, x[s:] if last else x[s : s + CHUNK + lap], last))
+            size += len(have[-1][1])
+    if have:
+        yield _joined(have)
 
 
-def _joined(who: list[int], parts: list[np.ndarray], edge: np.ndarray) -> tuple[list[int], np.ndarray, np.ndarray]:
-    sizes = np.array([len(p) + len(edge) for p in parts])
-    flat = np.concatenate([x for p in parts for x in (p, edge)] + [edge[:1]])  # one more, so that an empty last text has a window
-    return who, flat, np.concatenate([[0], np.cumsum(sizes)[:-1]])
+def _joined(have: list[tuple[int, np.ndarray, bool]]) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    zeros = np.zeros(max(WIDTHS), np.int64)
+    flat = np.concatenate([y for _, x, _ in have for y in (x, zeros)] + [zeros])
+    full = np.array([len(x) + len(zeros) for _, x, _ in have])
+    sizes = np.array([len(x) if last else CHUNK for _, x, last in have])
+    return [k for k, _, _ in have], flat, np.concatenate([[0], np.cumsum(full)[:-1]]), sizes, np.array([last for _, _, last in have])
 
 
 def fit(texts: list[str], labels: np.ndarray, langs: list[str | None], class_sizes: dict[int, int] | None = None, seed: int = 3) -> Model:
@@ -253,7 +257,7 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
     lang = F.col(lang_col) if lang_col else F.lit(None).cast("string")
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), lang.cast("string").alias("lang"))
     kind = docs.schema[id_col].dataType.simpleString()
-    scored = rows.mapInArrow(_scored(spark.sparkContext.broadcast(model)), f"id {kind}, score double, lang string")
+    scored = rows.transform(arrow_map, _scored(spark.sparkContext.broadcast(model)), f"id {kind}, score double, lang string")
     limit = F.lit(model.threshold)
     for name, t in model.thresholds.items():
         limit = F.when(F.col("lang") == name, t).otherwise(limit)
