@@ -44,10 +44,22 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Tables that ``written`` made in this process.
+_WRITTEN: list[str] = []
+
+
+def clean(spark: SparkSession) -> None:
+    """Remove the tables that this process wrote to the shared folder; results that still read them must be gone."""
+    while _WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def written(df: DataFrame) -> DataFrame:
     """Cut the lineage through a Parquet table in the shared folder; compact for wide or many rows."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/runloom-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -1,10 +1,11 @@
 import pytest
 
-from runloom.session import get_session
+from runloom.session import clean, get_session
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = get_session(4, "4g")
     session.sparkContext.setLogLevel("ERROR")
-    return session
+    yield session
+    clean(session)
