@@ -111,3 +111,21 @@ def test_sinks(spark, tmp_path):
         S.write_if_unchanged(df.limit(1), path, "other")
     S.write_if_unchanged(df.limit(1), path, mark)
     assert spark.read.parquet(path).count() == 1
+
+
+def test_runs_and_imports(spark, tmp_path):
+    from runloom.sources import runs as R
+
+    cards = spark.createDataFrame([("r1", "a", 90), ("r2", "b", 10), ("r3", "a", 50)], "run_id string, suite_id string, score int")
+    events = spark.createDataFrame([("r1", 0), ("r1", 1), ("r2", 0)], "run_id string, event_index int")
+    R.write_runs(cards, events, str(tmp_path / "runs"))
+    assert [(r["run_id"], r["n_events"]) for r in R.read_runs(spark, str(tmp_path / "runs"), "a").collect()] == [("r1", 2)]
+    results = spark.createDataFrame([("t1", "f", "x")], "task_id string, tool_name string, answer string")
+    tasks = spark.createDataFrame([("t1", "fam"), ("t2", "held")], "task_id string, family string")
+    tools = spark.createDataFrame([("f", "{}")], "tool_name string, tool_schema string")
+    sealed = spark.createDataFrame([("held",)], "family string")
+    assert R.import_conversations(results, tasks, tools, sealed).count() == 1
+    for bad in (("t2", "f", "y"), ("t9", "f", "y"), ("t1", "g", "y")):
+        more = results.unionAll(spark.createDataFrame([bad], results.schema))
+        with pytest.raises(Exception, match="import refused"):
+            R.import_conversations(more, tasks, tools, sealed).collect()
