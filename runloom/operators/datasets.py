@@ -48,11 +48,16 @@ def preference_pairs(episodes: DataFrame, min_gap: int = 1, cap: int = 0, group:
     partners come in the reverse of that order. ``cap`` bounds the pairs of a
     group in that order (0: all); it is a feature of the sampler, not of the join.
     """
-    a, b = episodes.alias("a"), episodes.alias("b")
+    chosen, rejected = episodes.filter("eligible"), episodes
+    if cap:
+        # A chosen row's partners are a prefix of the rejected order, so the first cap of either side hold the first cap pairs.
+        first = lambda d, *o: d.withColumn("__r", F.row_number().over(Window.partitionBy(*group).orderBy(*o))).filter(F.col("__r") <= cap).drop("__r")
+        chosen, rejected = first(chosen, F.desc("score"), "run_id"), first(rejected, "score", F.desc("run_id"))
+    a, b = chosen.alias("a"), rejected.alias("b")
     same = F.lit(True)
     for c in group:
         same = same & (F.col(f"a.{c}") == F.col(f"b.{c}"))
-    pairs = a.join(b, same & F.col("a.eligible") & (F.col("a.score") - F.col("b.score") >= min_gap)).select(
+    pairs = a.join(b, same & (F.col("a.score") - F.col("b.score") >= min_gap)).select(
         *[F.col(f"a.{c}").alias(c) for c in group], F.col("a.run_id").alias("chosen"), F.col("b.run_id").alias("rejected"), F.col("a.score").alias("chosen_score"), F.col("b.score").alias("rejected_score"), (F.col("a.score") - F.col("b.score")).alias("score_gap")
     )
     if not cap:
