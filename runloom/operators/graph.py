@@ -13,16 +13,21 @@ from pyspark.sql import DataFrame, functions as F
 from runloom.session import checkpointed
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+#: Edges of one partition: few edges in many partitions would be as many files for every shuffle of every round.
+PARTITION_EDGES = 50_000
+
+
+def _large_star(edges: DataFrame, parts: int) -> DataFrame:
     both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+    moved = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
+    return moved.coalesce(parts).distinct().coalesce(parts)
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, parts: int) -> DataFrame:
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
     moved = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionAll(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
+    return moved.unionAll(least.select("u", F.col("m").alias("v"))).filter("u <> v").coalesce(parts).distinct().coalesce(parts)
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
@@ -39,7 +44,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
         if mark["n"] == 0 or mark == last:
             break
         last = mark
-        e = checkpointed(_small_star(_large_star(e)))
+        parts = max(1, -(-mark["n"] // PARTITION_EDGES))
+        e = checkpointed(_small_star(_large_star(e.coalesce(parts), parts), parts))
     else:
         raise RuntimeError("components did not settle")
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()

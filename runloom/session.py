@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,13 +49,22 @@ def checkpointed(df: DataFrame) -> DataFrame:
 _WRITTEN: list[str] = []
 
 
-def clean(spark: SparkSession) -> None:
-    """Remove the tables that this process wrote to the shared folder; results that still read them must be gone."""
-    while _WRITTEN:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+def clean(spark: SparkSession, tables: list[str] | None = None) -> None:
+    """Remove tables that this process wrote to the shared folder, all or those named; results that still read them must be gone."""
+    for name in list(_WRITTEN) if tables is None else list(tables):
+        if name in _WRITTEN:
+            _WRITTEN.remove(name)
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def tables_of(f: Callable[[], DataFrame]) -> tuple[DataFrame, list[str]]:
+    """A function's result and the tables that it wrote on the way."""
+    before = len(_WRITTEN)
+    out = f()
+    return out, _WRITTEN[before:]
+
+
 def written(df: DataFrame) -> DataFrame:
     """Cut the lineage through a Parquet table in the shared folder; compact for wide or many rows."""
     spark = df.sparkSession
