@@ -1,3 +1,4 @@
+import random
 from itertools import combinations
 
 import numpy as np
@@ -136,3 +137,27 @@ def test_forest_spans_at_least_cost():
             root[x] = y
             best += d[k]
     assert d[keep].sum() == best
+
+
+def block_edits(n=40):
+    """Texts and copies with a new tail or one replaced block, at a similarity just over 0.8."""
+    rng = random.Random(11)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    out = []
+    for k in range(n):
+        words = [word() for _ in range(300)]
+        tail, block = [word() for _ in range(70)], [word() for _ in range(28)]
+        out += [words, [*words, *tail] if k % 2 else [*words[:150], *block, *words[178:]]]
+    return [" ".join(w) for w in out]
+
+
+def test_contiguous_edits_are_found(spark):
+    texts = block_edits()
+    sets = [D.shingle_set(t.encode(), 5) for t in texts]
+    pairs = [(i, i + 1) for i in range(0, len(texts), 2)]
+    assert all(0.8 <= D.overlap(sets[i], sets[j]) < 0.9 for i, j in pairs)
+    prints = [fingerprint(t.encode(), D.PRINT_SHINGLE) for t in texts]
+    assert any((prints[i] ^ prints[j]).bit_count() > D.RADIUS for i, j in pairs)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in D.similar_documents(docs).collect()}
+    assert got == {i: i - i % 2 for i in range(len(texts))}
