@@ -161,3 +161,13 @@ def test_contiguous_edits_are_found(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: r["component_id"] for r in D.similar_documents(docs).collect()}
     assert got == {i: i - i % 2 for i in range(len(texts))}
+
+
+def test_equal_fingerprints_are_verified(spark):
+    rng = random.Random(12)
+    texts = [" ".join([f"w{rng.randrange(10**6)}" for _ in range(90)] + ["0"] * 120) for _ in range(4)]
+    assert len({fingerprint(t.encode(), D.PRINT_SHINGLE) for t in texts}) == 1
+    texts += [texts[2] + " end", texts[3]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in D.similar_documents(docs).collect()}
+    assert got == {0: 0, 1: 1, 2: 2, 3: 3, 4: 2, 5: 3}
