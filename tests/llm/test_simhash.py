@@ -171,3 +171,19 @@ def test_equal_fingerprints_are_verified(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: r["component_id"] for r in D.similar_documents(docs).collect()}
     assert got == {0: 0, 1: 1, 2: 2, 3: 3, 4: 2, 5: 3}
+
+
+def test_last_round_with_an_unused_partition(spark):
+    rng = random.Random(13)
+    base = [rng.getrandbits(64) for _ in range(6)]
+    # Near prints that agree on the low half, whose partition has no threshold.
+    fps = sorted({b ^ (f << 32) for b in base for f in (0, 1 << 3, 1 << 9)})
+    signed = [int(np.array(f, np.uint64).view(np.int64)) for f in fps]
+    owner = {b ^ (f << 32): b for b in base for f in (0, 1 << 3, 1 << 9)}
+    sets = {f: np.arange(20, dtype=np.uint64) + np.uint64(100 * base.index(owner[f])) for f in fps}
+    rows = [(s, s, bytearray(sets[f].tobytes())) for s, f in zip(signed, fps)]
+    few = spark.createDataFrame(rows, "fp long, comp long, shingles binary")
+    plan = [(list(range(32)), -1), (list(range(32, 64)), 1)]
+    links = D.dealt(few, plan, "shingles").transform(D.arrow_map, D._block_links(1, 0.8, plan), "a long, b long").collect()
+    brute = [(a, b) for (a, x), (b, y) in combinations(zip(signed, fps), 2) if (x ^ y).bit_count() <= 1 and D.overlap(sets[x], sets[y]) >= 0.8]
+    assert groups(signed, [tuple(r) for r in links]) == groups(signed, brute) and brute
