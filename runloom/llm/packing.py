@@ -15,6 +15,7 @@ from __future__ import annotations
 import heapq
 import json
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,8 @@ def encoder(path: str) -> Callable[[str], np.ndarray]:
     """Ids of one text as the tokenizer file gives them, no special tokens added.
 
     A plain byte-level BPE file whose ids follow its merges is run by its
-    ranks; any other file by the tokenizers library itself.
+    ranks; any other file, and any text that the ranks' library refuses (a run of
+    about a million spaces), by the tokenizers library itself.
     """
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
@@ -48,13 +50,21 @@ def encoder(path: str) -> Callable[[str], np.ndarray]:
         and len(vocab.keys() - {t["content"] for t in added}) == 256 + len(merges) and all(vocab.get(a + b) == 256 + i for i, (a, b) in enumerate(merges))
         and all(not (t.get("normalized") or t.get("lstrip") or t.get("rstrip") or t.get("single_word")) for t in added)
     )
-    if not plain:
+
+    @cache
+    def library():
         from tokenizers import Tokenizer
 
         t = Tokenizer.from_file(path)
         t.no_truncation()
         t.no_padding()
-        return lambda text: np.array(t.encode(text, add_special_tokens=False).ids, np.uint32)
+        return t
+
+    def slow(text: str) -> np.ndarray:
+        return np.array(library().encode(text, add_special_tokens=False).ids, np.uint32)
+
+    if not plain:
+        return slow
     import public_tokenizers
     import tiktoken
 
@@ -62,7 +72,14 @@ def encoder(path: str) -> Callable[[str], np.ndarray]:
     letters = byte_letters()
     ranks = {bytes(letters[c] for c in token): i for token, i in vocab.items() if token not in special}
     run = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
-    return lambda text: run.encode_to_numpy(text, allowed_special="all")
+
+    def fast(text: str) -> np.ndarray:
+        try:
+            return run.encode_to_numpy(text, allowed_special="all")
+        except ValueError:  # the pattern's backtracking has a bound
+            return slow(text)
+
+    return fast
 
 
 def byte_letters() -> dict[str, int]:

@@ -102,6 +102,11 @@ def test_encoder_on_any_text(text):
     assert ENCODE(text).tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
 
 
+def test_encoder_on_a_million_spaces():
+    text = "a" + " " * 1_200_000 + "b c"
+    assert ENCODE(text).tolist() == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
 def test_packing(spark):
     t = Tokenizer.from_file(JSON)
     texts = TEXTS + [f"text number {i} " * (i % 90) for i in range(300)]
