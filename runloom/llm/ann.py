@@ -27,6 +27,8 @@ SHARD_ROWS, DEGREE, BUILD_BEAM, ALPHA = 8192, 28, 56, 1.2
 QUERY_BEAM, EXPAND = 160, 4
 #: Queries in a block, and blocks that a task searches with one copy of a shard's graph.
 BLOCK, BLOCKS = 512, 64
+#: Pairs whose distances are computed at once.
+PAIRS = 1 << 14
 
 
 class Graph:
@@ -51,30 +53,33 @@ class Graph:
 
     def _ready(self) -> None:
         scale = np.abs(self.points).max() or 1.0
-        self.x = (self.points / scale).astype(np.float32)
+        self.x = self.points / scale
         self.scale = scale
-        self.norms = np.einsum("ij,ij->i", self.x, self.x)
 
     def __getstate__(self) -> dict:
-        return {k: v for k, v in self.__dict__.items() if k not in ("x", "norms", "scale")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("x", "scale")}
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__ |= state
         self._ready()
 
-    def _near(self, q: np.ndarray, qn: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """Squared distances from queries (b, d) to points (b, c); -1 is infinitely far."""
-        d = qn[:, None] + self.norms[at] - 2 * np.matmul(self.x[at], q[:, :, None])[:, :, 0]
-        return np.where(at >= 0, d, np.inf)
+    def _near(self, q: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Squared distances from queries (b, d) to points (b, c), from differences, which near copies do not cancel; -1 is infinitely far."""
+        d = np.full(at.shape, np.inf)
+        rows, columns = np.nonzero(at >= 0)
+        for k in range(0, len(rows), PAIRS):
+            r, c = rows[k : k + PAIRS], columns[k : k + PAIRS]
+            v = self.x[at[r, c]] - q[r]
+            d[r, c] = np.einsum("ij,ij->i", v, v)
+        return d
 
     def search(self, q: np.ndarray, beam: int, most: int) -> tuple[np.ndarray, np.ndarray]:
         """(points, squared distances) in the beams of scaled queries, nearest first; only points below ``most`` exist."""
         b = len(q)
-        qn = np.einsum("ij,ij->i", q, q)
         starts = np.unique(np.linspace(0, most - 1, min(most, 8)).astype(np.int64))
         at = np.full((b, beam), -1, np.int64)
         at[:, : len(starts)] = starts[:beam]
-        dist = self._near(q, qn, at)
+        dist = self._near(q, at)
         seen = at < 0
         order = np.argsort(dist, axis=1, kind="stable")
         at, dist, seen = (np.take_along_axis(m, order, 1) for m in (at, dist, seen))
@@ -92,7 +97,7 @@ class Graph:
             r, c = np.nonzero(pick)
             from_[r, rank[has][r, c] - 1] = at[active[r], c]
             new = np.where(from_[:, :, None] >= 0, self.edges[from_], -1).reshape(len(active), -1)
-            near = self._near(q[active], qn[active], new)
+            near = self._near(q[active], new)
             near = np.where(near < dist[active, -1:], near, np.inf)
             width = min(near.shape[1], beam)
             if near.shape[1] > width:
@@ -115,12 +120,9 @@ class Graph:
         cand = np.sort(cand, axis=1)
         cand[:, 1:][cand[:, 1:] == cand[:, :-1]] = -1
         cand[cand == p[:, None]] = -1
-        near = self._near(self.x[p], self.norms[p], cand)
+        near = self._near(self.x[p], cand)
         order = np.argsort(near, axis=1, kind="stable")
-        cand, near = np.take_along_axis(cand, order, 1), np.maximum(np.take_along_axis(near, order, 1), 0)
-        v = self.x[cand]
-        n = self.norms[cand]
-        between = np.maximum(n[:, :, None] + n[:, None, :] - 2 * np.matmul(v, v.transpose(0, 2, 1)), 0)
+        cand, near = np.take_along_axis(cand, order, 1), np.take_along_axis(near, order, 1)
         alive = cand >= 0
         out = np.full((len(p), self.degree), -1, np.int64)
         rows = np.arange(len(p))
@@ -130,7 +132,8 @@ class Graph:
             first = alive.argmax(axis=1)
             ok = alive[rows, first]
             out[ok, k] = cand[ok, first[ok]]
-            alive &= ~((self.alpha**2 * between[rows, first] <= near) & ok[:, None])
+            between = self._near(self.x[cand[rows, first]], np.where(alive & ok[:, None], cand, -1))
+            alive &= ~((self.alpha**2 * between <= near) & ok[:, None])
             alive[rows, first] = False
         return out
 
@@ -178,8 +181,7 @@ class Graph:
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for s in range(0, len(ids), 256):
             q = vectors[s : s + 256]
-            at, _ = self.search((q / self.scale).astype(np.float32), min(beam, max(len(self.points), 1)), len(self.points))
-            at = at[:, : max(2 * k + 8, 32)]
+            at, _ = self.search(q / self.scale, min(beam, max(len(self.points), 1)), len(self.points))
             for i, found in enumerate(at):
                 found = found[found >= 0]
                 dist = np.sqrt(((self.points[found] - q[i]) ** 2).sum(axis=1))

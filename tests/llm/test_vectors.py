@@ -66,6 +66,21 @@ def test_nearest(spark, shard):
     assert hits / (10 * len(by)) >= 0.97
 
 
+def test_near_copies_are_told_apart():
+    rng = np.random.default_rng(4)
+    one = rng.normal(size=64)
+    v = np.concatenate([one / np.linalg.norm(one) + 1e-5 * rng.normal(size=(1000, 64)), rng.normal(size=(200, 64)) / 8])
+    ids = np.arange(len(v))
+    ask = ids[:1000:20]
+    q, found, _ = A.Graph(ids, v).nearest(ask, v[ask], 10)
+    hits = 0
+    for i in ask:
+        d = ((v - v[i]) ** 2).sum(axis=1)
+        d[i] = np.inf
+        hits += len(set(found[q == i].tolist()) & set(np.argsort(d)[:10].tolist()))
+    assert hits / (10 * len(ask)) >= 0.9
+
+
 def test_recall_on_the_table(spark):
     df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     got = {(r["query_id"], r["vec_id"]) for r in A.op5_ann(spark, "/root/testdata/sf0.1").collect()}
