@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import difflib
+import math
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from runloom.functions import text as T
@@ -56,16 +61,95 @@ def jaccard_pairs(left: DataFrame, right: DataFrame | None, key: str, threshold:
     return shared.select("a", "b", F.round(similarity, 6).alias("similarity"), similarity.alias("__s")).filter(F.col("__s") >= threshold - 1e-12).drop("__s")
 
 
-def near_duplicate_clusters(rows: DataFrame, key: str, text: str, threshold: float) -> DataFrame:
+#: Texts of one side of a tile that compares texts of like lengths.
+TILE = 1024
+
+
+def _ratio_links(threshold: float):
+    """A tile (home, band, own, key, comp, n) to links (a, b) of texts whose matching-blocks ratio is ``threshold`` at least, as they join its components."""
+
+    def run(table: pa.Table) -> pa.Table:
+        home, band, own, key, comp, text = (table.column(c).to_pylist() for c in ("home", "band", "own", "key", "comp", "n"))
+        size = np.array([len(t) for t in text])
+        # Characters counted in 64 classes: the sum of the lesser counts bounds what can match.
+        counts = np.array([np.bincount(np.frombuffer(t.encode("utf-32-le"), np.uint32) % 64, minlength=64) for t in text], np.int32)
+        left, right = (np.flatnonzero(np.array(home) == side) for side in (True, False))
+        root: dict = {}
+
+        def find(x):
+            while root.get(x, x) != x:
+                x = root[x]
+            return x
+
+        links = []
+        for i in left.tolist():
+            both = size[i] + size[right]
+            fits = 2 * np.minimum(size[i], size[right]) >= threshold * both - 1e-9
+            near = right[fits]
+            match = np.minimum(counts[i], counts[near]).sum(axis=1)
+            for j in near[2 * match >= threshold * both[fits] - 1e-9].tolist():
+                if own[j] == band[j] and key[j] <= key[i]:
+                    continue
+                x, y = find(comp[i]), find(comp[j])
+                if x == y:
+                    continue
+                a, b = (i, j) if key[i] < key[j] else (j, i)
+                if difflib.SequenceMatcher(None, text[a], text[b], autojunk=False).ratio() >= threshold:
+                    root[y] = x
+                    links.append((key[a], key[b]))
+        return pa.table([pa.array([x[k] for x in links], table.schema.field("key").type) for k in (0, 1)], names=["a", "b"])
+
+    return run
+
+
+def ratio_links(texts: DataFrame, threshold: float) -> DataFrame:
+    """``(a, b)``: links of ``texts(key, comp, n)`` by matching-blocks ratio, the smaller key first, that span what it joins.
+
+    A ratio of t needs lengths within t / (2 - t) of each other. Lengths are
+    dealt to bands of that width, so such texts are in one band or in
+    neighbours; bands are compared in tiles, and only pairs of different
+    components whose characters allow the ratio are matched.
+    """
+    narrow = threshold / (2 - threshold)
+    if narrow <= 0:
+        band = F.lit(0)
+    elif narrow >= 1:
+        band = F.length("n")
+    else:
+        band = F.floor(F.log(F.length("n")) / F.lit(-math.log(narrow) * (1 + 1e-9)))
+    rows = checkpointed(texts.filter(F.length("n") > 0).withColumn("own", band.cast("long")))
+    other = rows.withColumn("band", F.explode(F.array(F.col("own"), F.col("own") - 1)))
+    tiles = other.groupBy("band").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
+
+    def placed(side: DataFrame, home: bool) -> DataFrame:
+        mine, every = F.pmod(F.xxhash64("key"), F.col("tiles").cast("long")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
+        side = side.join(tiles, "band").withColumn("mine", mine).withColumn("every", every)
+        i, j = ("mine", "every") if home else ("every", "mine")
+        return side.select("band", F.col(i).alias("i"), F.col(j).alias("j"), F.lit(home).alias("home"), "own", "key", "comp", "n")
+
+    met = placed(rows.withColumn("band", F.col("own")), True).unionAll(placed(other, False))
+    kind = texts.schema["key"].dataType.simpleString()
+    return met.groupBy("band", "i", "j").applyInArrow(_ratio_links(threshold), f"a {kind}, b {kind}")
+
+
+def near_duplicate_clusters(rows: DataFrame, key: str, text: str, threshold: float, ratio: bool = True) -> DataFrame:
     """``(key, cluster)`` of every row: the smallest key that chains of similar rows reach.
 
-    Rows of equal normal form are one node, so pairs are sought between
-    different texts only; rows without a token are equal to each other.
+    Two rows are similar if the Jaccard similarity of their tokens or the
+    matching-blocks ratio of their normal forms is ``threshold`` or more, rows in
+    order of key; without ``ratio`` tokens alone count. Rows of equal normal form
+    are one node, so pairs are sought between different texts only; rows without
+    a token are equal to each other.
     """
     same = exact_duplicates(rows, key, text).select(key, "representative")
     reps = rows.join(same.filter(F.col(key) == F.col("representative")).select(key), key, "left_semi")
-    pairs = jaccard_pairs(token_rows(reps, key, text), None, key, threshold)
+    pairs = jaccard_pairs(token_rows(reps, key, text), None, key, threshold).select("a", "b")
     groups = connected_components(pairs)
+    if ratio:
+        normal = reps.select(F.col(key).alias("key"), T.normalise(F.coalesce(text, F.lit(""))).alias("n"))
+        texts = normal.join(groups, normal["key"] == groups["node"], "left").select("key", F.coalesce("component", "key").alias("comp"), "n")
+        joins = groups.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        groups = connected_components(joins.unionAll(ratio_links(texts, threshold)))
     return same.join(groups, same["representative"] == groups["node"], "left").select(key, F.coalesce("component", "representative").alias("cluster"))
 
 

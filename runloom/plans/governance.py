@@ -55,7 +55,8 @@ clu as (select norm.id, c.cluster from norm join (select n, min(id) as rep from
 
 @query(with_(_CLUSTER_SQL, "select id, cluster from clu"))
 def near_dup_clusters(spark, sf_dir):
-    return G.near_duplicate_clusters(turns(spark, sf_dir), "id", "text", 0.25)
+    """Clusters of turns by token Jaccard alone, as its SQL has it; the operator's ratio branch is left out here."""
+    return G.near_duplicate_clusters(turns(spark, sf_dir), "id", "text", 0.25, ratio=False)
 
 
 @query(
@@ -66,6 +67,7 @@ from (select *, ('0x' || substr(sha256('cluster-v1:' || cluster::varchar), 1, 16
     )
 )
 def clustered_split(spark, sf_dir):
+    """Splits of the clusters of ``near_dup_clusters``: token Jaccard alone."""
     return G.clustered_split(near_dup_clusters(spark, sf_dir), "id")
 
 

@@ -1,3 +1,4 @@
+import difflib
 import random
 from itertools import combinations
 
@@ -50,6 +51,32 @@ def test_clusters_join_empty_texts(spark):
     assert got == {1: 1, 2: 1, 3: 3, 4: 3, 5: 3, 6: 6}
 
 
+@pytest.mark.parametrize("tile", [4, 1024])
+def test_clusters_by_jaccard_or_ratio(spark, monkeypatch, tile):
+    monkeypatch.setattr(G, "TILE", tile)
+    rng = random.Random(8)
+    texts = ["", "a"]
+    for _ in range(25):
+        base = " ".join("".join(rng.choices("abcdefgh", k=rng.randrange(3, 9))) for _ in range(rng.randrange(1, 8)))
+        texts += [base, base + rng.choice(["s", "ing", " 12"]), "".join(c if rng.random() > 0.08 else "z" for c in base)]
+    rng.shuffle(texts)
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    for t in (0.6, 0.8):
+        root = list(range(len(texts)))
+        by_ratio = 0
+        for a, b in combinations(range(len(texts)), 2):
+            x, y = texts[a], texts[b]
+            p, q = set(x.split()), set(y.split())
+            jaccard = len(p & q) / len(p | q) if p | q else 0.0
+            ratio = difflib.SequenceMatcher(None, x, y, autojunk=False).ratio() if x and y else 0.0
+            if x == y or max(jaccard, ratio) >= t:
+                by_ratio += jaccard < t <= ratio
+                low, high = sorted((root[a], root[b]))
+                root = [low if r == high else r for r in root]
+        assert by_ratio
+        assert {r["id"]: r["cluster"] for r in G.near_duplicate_clusters(rows, "id", "text", t).collect()} == dict(enumerate(root))
+
+
 def test_curation_against_a_loop(spark):
     rng = random.Random(5)
     rows = [(i, float(rng.randrange(4)), rng.choice("abc"), rng.choice(["x", "y"])) for i in range(80)]
