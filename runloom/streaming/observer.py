@@ -14,6 +14,7 @@ from runloom.sources.traces import _observer
 
 #: Bounds on payloads at ingest: characters of a text.
 MAX_TEXT = 20_000
+CUT_MARK = "...[truncated]"
 
 
 def event_stream(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -25,7 +26,9 @@ def observer_stream(spark: SparkSession, path: str) -> DataFrame:
     """Observer lines of a growing folder as redacted events with their time; one row an event."""
     raw = spark.readStream.text(path).select(F.try_parse_json("value").alias("v")).filter("v is not null")
     e = raw.select(F.try_variant_get("v", "$.captured_at", "timestamp").alias("ts"), F.explode(_observer(F.col("v"))).alias("e")).select("ts", "e.*")
-    return e.withColumn("text", T.redacted(F.substring("text", 1, MAX_TEXT)))
+    # The whole text is redacted first: a secret that straddles the cut would no longer match.
+    e = e.withColumn("text", T.redacted(F.col("text")))
+    return e.withColumn("text", F.when(F.length("text") > MAX_TEXT, F.concat(F.substring("text", 1, MAX_TEXT), F.lit(CUT_MARK))).otherwise(F.col("text")))
 
 
 def windowed_counts(events: DataFrame, at: str, kind: str, window: str = "1 day", late: str = "2 days", slide: str | None = None) -> DataFrame:

@@ -29,6 +29,15 @@ def test_stream_equals_batch_and_redacts(spark, tmp_path):
     assert sorted((r["event_type"], r["tool_name"] or "", r["status"] or "") for r in got) == sorted((r["event_type"], r["tool_name"] or "", r["status"] or "") for r in want)
 
 
+def test_long_texts_are_redacted_before_the_cut(spark, tmp_path):
+    secret = 'password="hunter two three"'
+    text = "x " * 9_994 + secret + " y" * 50
+    (tmp_path / "0.jsonl").write_text(json.dumps({**ROWS[0], "payload": {"session_id": "s", "user_message": text}}) + "\n")
+    got = [r["text"] for r in O.drain(O.observer_stream(spark, str(tmp_path))).collect()]
+    assert len(got) == 1 and got[0].endswith("...[truncated]") and len(got[0]) == O.MAX_TEXT + 14
+    assert "hu" not in got[0]
+
+
 def test_windows_and_sessions(spark, tmp_path):
     stream = O.observer_stream(spark, folder(tmp_path))
     counts = O.drain(O.windowed_counts(stream, "ts", "event_type", "1 hour", "1 day", "30 minutes"), "complete")
