@@ -73,3 +73,27 @@ def test_block_sort_finds_equal_windows():
         for k in range(31):
             windows.setdefault((k, c[k : k + 70]), []).append((i, k - 10))
     assert sorted(zip(who.tolist(), offset.tolist(), strict=True)) == sorted(x for v in windows.values() if len(v) > 1 for x in v)
+
+
+@pytest.mark.parametrize("hot", [1, 4096])
+@pytest.mark.parametrize("lengths", [(12, 40), (5, 24), (30, 31)])
+def test_two_lengths_against_counting(spark, lengths, hot):
+    rng = np.random.default_rng(sum(lengths))
+    bits = ["".join(rng.choice(list("abé "), n)) for n in (14, 20, 35, 44, 60, 90)]
+    texts = ["".join(rng.choice(bits, 5)) + "".join(rng.choice(list("abé "), 7)) for _ in range(40)]
+    texts += ["a" * 90, "ab" * 40, "", "abc", None, bits[3], bits[3], bits[5][:30], bits[5][-41:], texts[0][:-3]]
+    got = kept(spark, texts, lengths[1], passage=lengths[0], hot=hot)
+    raw = [(t or "").encode() for t in texts]
+    short = S.brute_force(raw, lengths[0])
+    for i, want in enumerate(S.brute_force(raw, lengths[1])):
+        assert bytes(got[i]["kept"]) == want, i
+        assert got[i]["n_passage"] == len(raw[i]) - len(short[i]), i
+
+
+def test_two_lengths_in_a_very_long_text(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    part = "".join(rng.choice(list("abcdefgh"), 3000))
+    text = "".join(rng.choice(list("abcdefgh"), S.PIECE + 5000)) + part + "xyz" + part[1000:2500]
+    got = kept(spark, [text, part[200:500], None], 400, passage=240)
+    assert got[0]["n_removed"] == 3000 and got[0]["n_passage"] == 3300 and got[0]["n_spans"] == 2
+    assert got[1]["n_removed"] == 0 and got[1]["n_passage"] == 300
