@@ -23,11 +23,13 @@ from runloom.llm.labelled import fold, labelled_sample
 BITS, DIM, GRAMS = 18, 8, (3, 4)
 PER_CLASS, MAX_BYTES = 3000, 1 << 17
 EPOCHS, RATE = 4, 0.5
-#: Bytes of text that are hashed at once; longer texts come in parts that overlap by the longest n-gram.
+#: Bytes of text that are hashed at once; a longer text comes in parts, each led by the word before it. A single word
+#: of more bytes than this is cut, and its parts count as words.
 CHUNK = 1 << 18
 
+_BLANKS = bytes([9, 10, 11, 12, 13, 32])
 _SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_SPACE[[*_BLANKS]] = True
 
 
 @lru_cache(maxsize=1)
@@ -35,8 +37,8 @@ def _hasher() -> RollingHash:
     return RollingHash(101, CHUNK * 2 + 64)
 
 
-def features(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(bucket, number of the text, place) of all features of texts that lie in ``data`` with white space around each."""
+def features(data: np.ndarray, fresh: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(bucket, number of the text) of all features of texts that lie in ``data`` with white space around each; those that begin before ``fresh`` were counted with the part before."""
     h = _hasher()
     p = h.prefix(data)
     space = _SPACE[data]
@@ -45,51 +47,67 @@ def features(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator
     last = np.flatnonzero(~space[:-1] & space[1:]) + 1
     owner = np.searchsorted(ends, first, side="right")
     words = h.slices(p, first, last)
-    yield (words >> np.uint64(64 - BITS)).astype(np.int64), owner, first
+    new = first >= fresh[owner]
+    yield (words[new] >> np.uint64(64 - BITS)).astype(np.int64), owner[new]
     # Word bigrams by the difference of their hashes: a word that follows itself is the same bigram whatever the word.
     same = owner[1:] == owner[:-1]
     pairs = mix64((words[1:] - words[:-1])[same] + np.uint64(1))
-    yield (pairs >> np.uint64(64 - BITS)).astype(np.int64), owner[1:][same], first[1:][same]
+    yield (pairs >> np.uint64(64 - BITS)).astype(np.int64), owner[1:][same]
     before = np.concatenate([[0], np.cumsum(space)])
     for n in GRAMS:
         codes = h.grams(p, n)
         at = np.arange(len(codes))
         ok = before[at + n - 1] == before[at + 1]  # white space at the ends only, as a word's boundary
         at = at[ok]
-        owner = np.searchsorted(ends, at, side="right")
-        inside = (owner < len(ends)) & (at + 1 >= starts[np.minimum(owner, len(starts) - 1)])
+        owner = np.searchsorted(ends, at + 1, side="right")  # the second letter's text, as the first may be the space before
+        inside = owner < len(ends)
         at, owner = at[inside], owner[inside]
-        yield ((codes[at] ^ np.uint64(n * 0x9E3779B97F4A7C15 % 2**64)) >> np.uint64(64 - BITS)).astype(np.int64), owner, at
+        new = at + 1 >= fresh[owner]
+        at, owner = at[new], owner[new]
+        yield ((codes[at] ^ np.uint64(n * 0x9E3779B97F4A7C15 % 2**64)) >> np.uint64(64 - BITS)).astype(np.int64), owner
+
+
+def _parts(text: bytes) -> Iterator[tuple[bytes, int]]:
+    """(part, bytes at its start that the part before held): the text in parts of CHUNK bytes, cut at white space, each led by the last word before it."""
+    s, word = 0, b""
+    while True:
+        e = len(text)
+        if e - s > CHUNK:
+            e = max(text.rfind(bytes([c]), s + 1, s + CHUNK) for c in _BLANKS)
+            e = s + CHUNK if e <= s else e
+        part = text[s:e]
+        yield word + part, len(word)
+        if e == len(text):
+            return
+        if text[e] not in _BLANKS:
+            word = b""  # inside a word of over CHUNK bytes
+        elif words := (word + part).rstrip(_BLANKS):
+            word = words[max(words.rfind(bytes([c])) for c in _BLANKS) + 1 :]
+            word = word if len(word) <= CHUNK // 2 else b""
+        s = e
 
 
 def _laid_out(texts: list[bytes]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray, np.ndarray]]:
-    """(numbers of the texts, bytes, starts, ends) a chunk at a time; a longer text is cut at white space where there is some."""
-    who, parts, size = [], [], 0
+    """(numbers of the texts, bytes, where each one's new bytes start, ends) a chunk at a time."""
+    who, parts, laps, size = [], [], [], 0
     for k, t in enumerate(texts):
-        s = 0
-        while True:
-            e = len(t)
-            if e - s > CHUNK:
-                e = max(t.rfind(b" ", s, s + CHUNK), t.rfind(b"\n", s, s + CHUNK))
-                e = s + CHUNK if e <= s else e
-            if size and size + e - s > CHUNK:
-                yield _lay(who, parts)
-                who, parts, size = [], [], 0
+        for part, lap in _parts(t):
+            if size and size + len(part) > CHUNK:
+                yield _lay(who, parts, laps)
+                who, parts, laps, size = [], [], [], 0
             who.append(k)
-            parts.append(t[s:e])
-            size += e - s + 1
-            s = e
-            if s >= len(t):
-                break
+            parts.append(part)
+            laps.append(lap)
+            size += len(part) + 1
     if who:
-        yield _lay(who, parts)
+        yield _lay(who, parts, laps)
 
 
-def _lay(who: list[int], parts: list[bytes]) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray]:
+def _lay(who: list[int], parts: list[bytes], laps: list[int]) -> tuple[list[int], np.ndarray, np.ndarray, np.ndarray]:
     data = np.frombuffer(b" " + b" ".join(parts) + b" ", np.uint8)
     sizes = np.array([len(p) + 1 for p in parts])
     ends = np.cumsum(sizes) + 1
-    return who, data, ends - sizes, ends
+    return who, data, ends - sizes + np.array(laps), ends
 
 
 @dataclass
@@ -104,9 +122,9 @@ class Model:
     def score(self, texts: list[bytes], folded: np.ndarray | None = None) -> np.ndarray:
         table = self.folded() if folded is None else folded
         total, count = np.zeros(len(texts)), np.zeros(len(texts))
-        for who, data, starts, ends in _laid_out(texts):
+        for who, data, fresh, ends in _laid_out(texts):
             numbers = np.array(who)
-            for bucket, owner, _ in features(data, starts, ends):
+            for bucket, owner in features(data, fresh, ends):
                 total += np.bincount(numbers[owner], table[bucket], len(texts))
                 count += np.bincount(numbers[owner], minlength=len(texts))
         z = total / np.maximum(count, 1) + self.bias[1] - self.bias[0]
@@ -120,7 +138,7 @@ def fit(texts: list[bytes], labels: np.ndarray, class_sizes: dict[int, int] | No
     model = Model(rng.uniform(-1 / DIM, 1 / DIM, (1 << BITS, DIM)).astype(np.float32), np.zeros((2, DIM), np.float32), np.zeros(2))
     bags: list[tuple[np.ndarray, np.ndarray]] = []
     for t in texts:
-        found = [b for _, data, starts, ends in _laid_out([t]) for b, _, _ in features(data, starts, ends)]
+        found = [b for _, data, fresh, ends in _laid_out([t]) for b, _ in features(data, fresh, ends)]
         ids, counts = np.unique(np.concatenate(found), return_counts=True)
         bags.append((ids.astype(np.int32), (counts / max(counts.sum(), 1)).astype(np.float32)))
     share = {y: class_sizes.get(y, 0) / max((labels == y).sum(), 1) for y in (0, 1)} if class_sizes else {0: 1.0, 1: 1.0}

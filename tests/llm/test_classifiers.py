@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from runloom.llm import quality as Q, toxicity as X
+from runloom.llm.common import mix64
 from runloom.llm.labelled import fold, labelled_sample
 
 BAD = ["blorx", "grumph", "zzikt"]
@@ -87,12 +88,58 @@ def test_quality_learns_junk(spark):
     assert len(got) == 3 and all(0 <= r["score"] <= 1 for r in got)
 
 
-def test_quality_chunks_change_little(monkeypatch):
-    texts, y = corpus(100, 7, 0)
+def plain_quality(model, text):
+    """The score by loops over words and letters."""
+    h, folded = Q._hasher(), model.folded()
+    code = lambda x: int(mix64(np.array([sum(int(h.table[c]) * int(h.powers[i]) for i, c in enumerate(x)) % 2**64], np.uint64))[0])
+    words = text.split()
+    buckets = [code(w) >> 64 - Q.BITS for w in words]
+    for a, b in zip(words, words[1:]):
+        buckets.append(int(mix64(np.array([(code(b) - code(a) + 1) % 2**64], np.uint64))[0]) >> 64 - Q.BITS)
+    spaced = b" " + text + b" "
+    for n in Q.GRAMS:
+        for i in range(len(spaced) - n + 1):
+            if not any(c in Q._BLANKS for c in spaced[i + 1 : i + n - 1]):
+                buckets.append((code(spaced[i : i + n]) ^ n * 0x9E3779B97F4A7C15 % 2**64) >> 64 - Q.BITS)
+    z = float(np.mean(folded[buckets])) if buckets else 0.0
+    return 1 / (1 + np.exp(-(z + model.bias[1] - model.bias[0])))
+
+
+def test_quality_scores_are_the_loops(monkeypatch):
+    texts, y = corpus(60, 7, 0)
     model = Q.fit([t.encode() for t in texts], y)
-    whole = model.score([" ".join(texts).encode(), b"", texts[0].encode()])
-    monkeypatch.setattr(Q, "CHUNK", 400)
-    assert np.allclose(whole, model.score([" ".join(texts).encode(), b"", texts[0].encode()]), atol=2e-2)
+    some = [t.encode() for t in texts[:6]] + [b"", b" ", b"a", b"ab  c\n\nd", b"x" * 30, " é ß".encode(), " ".join(texts[:4]).encode()]
+    want = [plain_quality(model, t) for t in some]
+    assert np.allclose(model.score(some), want, atol=1e-6)
+    for size in (64, 100, 177):
+        monkeypatch.setattr(Q, "CHUNK", size)
+        assert np.allclose(model.score(some), want, atol=1e-6), size
+
+
+def test_quality_parts_hold_all_bytes(monkeypatch):
+    monkeypatch.setattr(Q, "CHUNK", 40)
+    for text in (b"", b" " * 200, b"w" * 130, b"some words here and there " * 9, b"a" + b" " * 100 + b"b" * 90 + b"\tc"):
+        assert b"".join(p[lap:] for p, lap in Q._parts(text)) == text
+
+
+def plain_toxicity(model, text):
+    """The score by loops over words, widths and filters."""
+    rows = model.rows()
+    x = [model.embeddings[rows[w]] for w in X.words_of(text)] + [np.zeros(X.DIM)] * max(X.WIDTHS)
+    pooled = []
+    for w in X.WIDTHS:
+        conv = np.array([sum(x[i + k] @ model.filters[w][k] for k in range(w)) for i in range(len(x) - w + 1)])
+        pooled.append(np.maximum(conv.max(axis=0) + model.biases[w], 0))
+    return 1 / (1 + np.exp(-(np.concatenate(pooled) @ model.out + model.bias)))
+
+
+def test_toxicity_scores_are_the_loops():
+    texts, y = corpus(80, 3, 20)
+    model = X.fit(texts, np.array(y), ["x"] * len(texts))
+    rows = model.rows()
+    some = [*texts[:20], "", "one", "12 !?", " ".join(texts)]
+    got = model.score([np.array(list(map(rows.__getitem__, X.words_of(t))), np.int64) for t in some])
+    assert np.allclose(got, [plain_toxicity(model, t) for t in some], atol=1e-4)
 
 
 @pytest.mark.parametrize("op,column", [(X, "toxic"), (Q, "quality")])
