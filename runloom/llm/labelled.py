@@ -2,31 +2,47 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from runloom.session import written
+
 
 def fold(id_col: str, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column, per_class: int, max_bytes: int, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = None) -> tuple[pd.DataFrame, dict[int, int]]:
+#: Bytes of text that a sample holds for each class at most.
+TOTAL_BYTES = 1 << 25
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, keep: Column, per_class: int, max_bytes: int, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = None, total_bytes: int = TOTAL_BYTES
+) -> tuple[pd.DataFrame, dict[int, int]]:
     """Up to ``per_class`` labelled rows of each class with their whole texts, and the classes' sizes.
 
     ``keep`` filters the labels (it may use the id only). Rows are taken in
-    order of a hash of their id, so the sample is the same in every run. Texts of
-    over ``max_bytes`` are not sampled. Labels that are null or not 0 or 1 are
-    not used; an id labelled twice counts with its larger label.
+    order of a hash of their id until the class holds ``total_bytes`` of text, so
+    the sample is the same in every run and the driver's share is bounded. Texts
+    of over ``max_bytes`` are not sampled. Labels that are null or not 0 or 1 are
+    not used; an id labelled twice counts with its larger label, a document that
+    repeats with its least text.
     """
     known = labels.filter(F.col(label).isin(0, 1) & F.col(id_col).isNotNull() & keep).groupBy(id_col).agg(F.max(label).alias("y"))
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *([F.col(lang_col).alias("lang")] if lang_col else [F.lit(None).cast("string").alias("lang")]))
+    texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), (F.col(lang_col) if lang_col else F.lit(None)).cast("string").alias("lang"))
     sizes = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    order = F.xxhash64(F.col(id_col), F.lit(5))
-    parts = [known.filter(F.col("y") == y).orderBy(order, id_col).limit(per_class) for y in (0, 1)]
+    order = F.xxhash64(F.col("id"), F.lit(5))
+    parts = [known.filter(F.col("y") == y).orderBy(F.xxhash64(F.col(id_col), F.lit(5)), id_col).limit(per_class) for y in (0, 1)]
     chosen = parts[0].unionAll(parts[1]).withColumnRenamed(id_col, "id")  # 2 * per_class rows at most
-    rows = texts.filter(F.octet_length(F.coalesce("text", F.lit(""))) <= max_bytes).join(F.broadcast(chosen), "id")
-    frame = rows.select("id", F.coalesce("text", F.lit("")).alias("text"), "lang", "y").toPandas()
-    # A repeated document counts once.
-    frame = frame.sort_values(["id", "text"]).drop_duplicates("id").reset_index(drop=True)
-    return frame, sizes
+    rows = texts.filter(F.octet_length("text") <= max_bytes).join(F.broadcast(chosen), "id")
+    rows = written(rows.groupBy("id", "y").agg(F.min(F.struct("text", "lang")).alias("t")).select("id", "t.text", "t.lang", "y"))
+    places = rows.select("id", "y", order.alias("at"), F.octet_length("text").alias("bytes")).toPandas().sort_values(["at", "id"])
+    taken = places[places.groupby("y")["bytes"].cumsum() <= total_bytes]
+    last = taken.groupby("y")["at"].max()
+    inside = [(F.col("y") == int(y)) & (order <= int(at)) for y, at in last.items()]
+    frame = rows.filter(reduce(or_, inside, F.lit(False))).toPandas()
+    return frame.sort_values("id").reset_index(drop=True), sizes

@@ -150,3 +150,10 @@ def test_held_out_accuracy(spark, op, column):
     rows = run(spark, data).join(spark.read.parquet(f"{data}/labels.parquet"), "doc_id").filter("held_out").select("predicted", column, "score").collect()
     right = sum(r["predicted"] == r[column] for r in rows) / len(rows)
     assert right > 0.93, right
+
+
+def test_sample_is_bounded_in_bytes(spark):
+    docs = spark.createDataFrame([(i, "x" * 40) for i in range(100)], "doc_id long, text string").unionAll(spark.createDataFrame([(7, "y" * 40)] * 50, "doc_id long, text string"))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(100)], "doc_id long, toxic int")
+    frame, _ = labelled_sample(docs, labels, "toxic", F.lit(True), 50, 60, total_bytes=400)
+    assert frame["y"].value_counts().to_dict() == {0: 10, 1: 10} and frame["id"].is_unique
