@@ -141,3 +141,58 @@ def test_pack_fits(sizes):
 
 def test_differencing_balances():
     assert sorted(np.bincount(packing.differencing([8, 7, 6, 5, 4], 2), [8, 7, 6, 5, 4]).tolist()) == [14, 16]
+
+
+def test_many_short_texts_take_little_memory():
+    """A million empty texts; a vector of windows for each text would take gigabytes."""
+    import resource
+
+    rests = packing.Rests(2048)
+    one = np.array([1], "<u4")
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    sizes = []
+    for i in range(1_000_000):
+        rests.add(i, 0, one, 1)
+        if len(rests.ids) >= packing.BLOCK_PIECES:
+            sizes.append(rests.settle(2048, 0)[1])
+            rests = packing.Rests(2048)
+    rests.settle(2048, 0)
+    assert sizes == [128, 128, 128]
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 400_000  # KB
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(0, 70), max_size=200))
+def test_bundles_hold_every_piece_once(sizes):
+    rests = packing.Rests(64)
+    for i, n in enumerate(sizes):
+        for s in range(0, n, rests.most):
+            rests.add(i, s, np.arange(s, min(n, s + rests.most), dtype="<u4"), n)
+    if not rests.ids:
+        return
+    rows, m = rests.settle(64, 10)
+    got = rows.to_pydict()
+    assert set(got["sequence_id"]) <= set(range(10, 10 + m))
+    spans = {}
+    for q, o, n in zip(got["sequence_id"], got["offset"], got["length"]):
+        spans.setdefault(q, []).append((o, n))
+    for own in spans.values():
+        at = 0
+        for o, n in sorted(own):
+            assert o == at
+            at += n
+        assert at <= 64
+    assert sum(got["length"]) == sum(sizes)
+
+
+def test_repeated_rows_are_encoded_once(spark):
+    cache = f"{shared_dir(spark)}/cache-{uuid.uuid4().hex}"
+    docs = spark.createDataFrame([(1, "the same text")] * 50 + [(2, "the same text")] * 50 + [(None, None)] * 3, "doc_id long, text string").repartition(4)
+    assert token_counts.count_tokens(docs, JSON, cache).count() == 103
+    assert spark.read.parquet(cache).count() == 2
+
+
+def test_key_names_what_counts(monkeypatch):
+    key = token_counts.tokenizer_version(JSON)
+    monkeypatch.setattr(P, "PATTERN", P.PATTERN + "|x")
+    assert token_counts.tokenizer_version(JSON) != key
