@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from runloom.llm.common import arrow_batches, arrow_map, require
 from runloom.llm.packing import encoder
-from runloom.session import shared_dir
+from runloom.session import shared_dir, written
 
 LIMIT = 512
 #: Characters that the library encodes at once; its encodings take a hundred times that.
@@ -51,10 +51,13 @@ def counter(path: str) -> Callable[[list[str]], list[int]]:
 
 
 def tokenizer_version(path: str) -> str:
-    """Digest of the file's bytes with the library's name and version."""
-    library = "tokenizers" if path.endswith(".json") else "sentencepiece"
+    """Digest of the file's bytes, of the libraries that may run it with their versions, and of the pattern of the ranks."""
+    import public_tokenizers
+
+    libraries = ("tokenizers", "tiktoken") if path.endswith(".json") else ("sentencepiece",)
+    said = "".join(f"|{x}|{version(x)}" for x in libraries) + (f"|{public_tokenizers.PATTERN}" if path.endswith(".json") else "")
     with open(path, "rb") as f:
-        return hashlib.sha256(f.read() + f"|{library}|{version(library)}".encode()).hexdigest()
+        return hashlib.sha256(f.read() + said.encode()).hexdigest()
 
 
 def _count(path: str):
@@ -89,8 +92,9 @@ def count_tokens(docs: DataFrame, path: str, cache: str, id_col: str = "doc_id",
 
     Null text counts as empty; special strings inside texts are handled as the
     library does by default; null ids and repeated rows stay, and equal texts are
-    encoded once. Other columns are not read. An empty table gives an empty
-    result and leaves the cache as it is.
+    encoded once, in repeated rows too: copies meet in a partial aggregate before
+    the shuffle. Other columns are not read. An empty table gives an empty result
+    and leaves the cache as it is.
     """
     require(docs, id_col, text_col)
     spark = docs.sparkSession
@@ -98,13 +102,11 @@ def count_tokens(docs: DataFrame, path: str, cache: str, id_col: str = "doc_id",
     key = tokenizer_version(path)
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text")).withColumn("digest", F.sha2("text", 256))
     known = read_cache(spark, cache).filter(F.col("tokenizer") == key).select("digest")
-    # One row stands for each digest: the one of the least (id, then any of equal rows).
-    place = F.coalesce(F.xxhash64("id"), F.lit(0))
-    chosen = rows.select("digest", place.alias("place")).groupBy("digest").agg(F.min("place").alias("place")).join(known, "digest", "left_anti")
-    misses = rows.withColumn("place", place).join(chosen, ["digest", "place"], "left_semi").select("digest", "text")
+    misses = rows.groupBy("digest").agg(F.first("text").alias("text")).join(known, "digest", "left_anti")
     counted = misses.transform(arrow_map, _count(path), "digest string, n_tokens long")
     counted.select(F.lit(key).alias("tokenizer"), "digest", "n_tokens").write.mode("append").parquet(cache)
-    stored = read_cache(spark, cache).filter(F.col("tokenizer") == key).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+    # Written, so that the join is between plain exchanges, whose hot partitions Spark splits.
+    stored = written(read_cache(spark, cache).filter(F.col("tokenizer") == key).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")))
     return rows.select("id", "digest", F.octet_length("text").cast("long").alias("n_bytes")).join(stored, "digest").select(F.col("id").alias(id_col), "n_bytes", "n_tokens")
 
 
