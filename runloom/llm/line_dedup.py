@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from runloom.llm.common import require
+from runloom.session import written
 
 WINDOW = 3
 #: What stands for a null id while windows are ordered.
@@ -38,7 +39,8 @@ def repeated_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     every = base.select("id", "dk", F.posexplode(_windows(F.col("text"), width)).alias("pos", "w")).select("id", "dk", "pos", "w.w1", "w.w2")
     # id and line as one number, for a hash aggregate; a 64-bit id needs 96 bits so.
     place = F.col("id").cast("decimal(20,0)") * F.lit(2**32).cast("decimal(10,0)") + F.col("pos")
-    counted = every.groupBy("w1", "w2").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    # Written, so that the join is between plain exchanges, whose hot partitions Spark splits.
+    counted = written(every.groupBy("w1", "w2").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"))
     late = every.join(counted, ["w1", "w2"]).filter(place != F.col("first"))
     return late.groupBy("id", "dk").agg(F.collect_set("pos").alias("starts"))
 
@@ -71,7 +73,8 @@ def remove_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Lines end at LF; null text counts as the empty text, which is one empty
     line; texts of fewer than ``width`` lines hold no window; blank lines count
     as lines. Rows that share an id count as one document, so equal windows at
-    the same line of both are one occurrence; null ids come first. Other columns
+    the same line of both are one occurrence; null ids come first, as the id
+    -2**63 would, with which they count as one document. Other columns
     are not read. An empty table gives an empty result.
     """
     require(docs, id_col, text_col)
