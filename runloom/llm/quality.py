@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from runloom.llm.common import RollingHash, arrow_batches, arrow_map, mix64, require
-from runloom.llm.labelled import fold, labelled_sample
+from runloom.llm.labelled import fitted, fold, labelled_sample
 
 BITS, DIM, GRAMS = 18, 8, (3, 4)
 PER_CLASS, MAX_BYTES = 3000, 1 << 17
@@ -194,8 +194,8 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
 
 def fit_documents(docs: DataFrame, labels: DataFrame, keep, id_col: str = "doc_id", text_col: str = "text", per_class: int = PER_CLASS, max_bytes: int = MAX_BYTES) -> Model:
     """A model of a bounded sample of the labelled rows that ``keep`` admits."""
-    frame, sizes = labelled_sample(docs, labels, "quality", keep, per_class, max_bytes, id_col, text_col)
-    return fit([t.encode("utf-8", "replace") for t in frame["text"]], frame["y"].to_numpy(), sizes)
+    sample, sizes = labelled_sample(docs, labels, "quality", keep, per_class, max_bytes, id_col, text_col)
+    return fitted(sample, lambda rows: fit([t.encode("utf-8", "replace") for t in rows["text"]], rows["y"].to_numpy(), sizes))
 
 
 def op8_quality(spark, sf_dir):

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from runloom.llm.common import arrow_batches, arrow_map, require
-from runloom.llm.labelled import fold, labelled_sample
+from runloom.llm.labelled import fitted, fold, labelled_sample
 
 WIDTHS, FILTERS, DIM = (1, 2, 3), 8, 16
 BUCKETS = 1 << 24
@@ -266,8 +266,8 @@ def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_
 
 def fit_documents(docs: DataFrame, labels: DataFrame, keep, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang", per_class: int = PER_CLASS, max_bytes: int = MAX_BYTES) -> Model:
     """A model of a bounded sample of the labelled rows that ``keep`` admits; language is used for thresholds only."""
-    frame, sizes = labelled_sample(docs, labels, "toxic", keep, per_class, max_bytes, id_col, text_col, lang_col)
-    return fit(frame["text"].tolist(), frame["y"].to_numpy(), frame["lang"].tolist(), sizes)
+    sample, sizes = labelled_sample(docs, labels, "toxic", keep, per_class, max_bytes, id_col, text_col, lang_col)
+    return fitted(sample, lambda rows: fit(rows["text"].tolist(), rows["y"].to_numpy(), rows["lang"].tolist(), sizes))
 
 
 def reject_toxic(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str | None = "lang") -> DataFrame:
