@@ -38,6 +38,26 @@ def test_range_join(spark, monkeypatch, cell):
     assert got[None]["n_links"] == 0 and len(got) == 307
 
 
+def test_copies_of_clustered_vectors_stay_flat(spark, monkeypatch):
+    monkeypatch.setattr(R, "CELL", 100)
+    monkeypatch.setattr(R, "BLOCK", 100)
+    rng = np.random.default_rng(5)
+    copies = []
+    for n in (1000, 5000):
+        centres = rng.normal(size=(n // 100, 32))
+        v = np.repeat(centres, 100, axis=0) + rng.normal(scale=0.02, size=(n, 32))
+        nodes = spark.createDataFrame([(i, 1, [float(x) for x in row], 32) for i, row in enumerate(v)], "rep long, n long, vector array<double>, dim int")
+        copies.append(R.replicated(nodes, 0.95).count() / n)
+    assert copies[1] < 1.5 * copies[0] + 1 and copies[1] < 10
+
+
+def test_clashing_names(spark):
+    rows = [(i, [1.0, float(i)], i, i, i, 0.5, 1) for i in range(6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, rep long, n long, cell long, d double, dim int")
+    assert R.near_duplicate_vectors(df).count() == 6
+    assert A.nearest_neighbours(df.withColumnRenamed("cell", "shard").withColumn("block", df["n"]), df.filter("vec_id = 0 or vec_id is null"), k=3).count() == 3
+
+
 def test_range_join_dims_repeats_and_empty(spark):
     rows = [(1, [1.0, 0.0]), (2, [1.0, 0.0, 0.0]), (3, [2.0, 0.0]), (4, [1.0, 0.0]), (4, [1.0, 0.0])]
     got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in R.near_duplicate_vectors(frame(spark, rows)).collect())
