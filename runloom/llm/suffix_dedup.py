@@ -47,6 +47,8 @@ LENGTH, PASSAGE = 400, 240
 GRAM, PIECE = 60, 1 << 18
 #: Modulus of the difference cover. Contexts of a block, in bytes.
 COVER, BLOCK = 31, 1 << 19
+#: Bytes of contexts that are sent to the sort at once.
+CUT = 1 << 22
 #: Open contexts of a bucket from which on its windows are counted one by one.
 HOT = 4096
 
@@ -161,18 +163,34 @@ def _anchors(lengths: tuple[int, ...]):
 
 
 def _cut_contexts(length: int):
-    """Rows of (z, contexts wanted of it) to rows of (ah, ch, lo, hi, text of the context)."""
+    """Rows of (z, contexts wanted of it) to rows of (ah, ch, lo, hi, text of the context), CUT bytes of texts at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
-            out: list[tuple] = []
-            for z, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                raw = unpack.decompress(z)
-                out += [(w["ah"], w["ch"], w["lo"], w["hi"], raw[w["pos"] - w["lo"] : w["pos"] + w["hi"] + length + w["room"]]) for w in wanted]
-            columns = list(zip(*out, strict=True)) or [()] * 5
-            kinds = (pa.int64(), pa.int64(), pa.int16(), pa.int16(), pa.binary())
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["ah", "ch", "lo", "hi", "ctx"])
+            lists = batch.column(1)
+            wanted = lists.flatten()
+            ah, ch, pos, lo, hi, room = (wanted.field(wanted.type.get_field_index(c)) for c in ("ah", "ch", "pos", "lo", "hi", "room"))
+            first = pos.to_numpy().astype(np.int64) - lo.to_numpy()
+            last = pos.to_numpy().astype(np.int64) + hi.to_numpy() + length + room.to_numpy()
+            done = at = 0
+            texts: list[bytes] = []
+            size = 0
+
+            def rows() -> pa.RecordBatch:
+                columns = [x.slice(done, len(texts)) for x in (ah, ch, lo, hi)]
+                return pa.record_batch([*columns, pa.array(texts, pa.binary())], names=["ah", "ch", "lo", "hi", "ctx"])
+
+            for z, n in zip(batch.column(0), lists.value_lengths().to_pylist(), strict=True):
+                raw = unpack.decompress(z.as_py())
+                for s, e in zip(first[at : at + n].tolist(), last[at : at + n].tolist(), strict=True):
+                    texts.append(raw[s:e])
+                    size += e - s
+                    if size >= CUT:
+                        yield rows()
+                        done, texts, size = done + len(texts), [], 0
+                at += n
+            yield rows()
 
     return run
 
@@ -327,35 +345,46 @@ def _single_windows(lengths: tuple[int, ...]):
     return run
 
 
-def _merged(spans: list[tuple[int, int]]) -> list[list[int]]:
-    out: list[list[int]] = []
-    for s, e in sorted(spans):
-        if out and s <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], e)
-        else:
-            out.append([s, e])
-    return out
+def _merged(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The maximal runs that the spans cover, in order."""
+    order = np.argsort(start, kind="stable")
+    start, end = start[order], np.maximum.accumulate(end[order]) if len(end) else end
+    new = np.ones(len(start), bool)
+    new[1:] = start[1:] > end[:-1]
+    first = np.flatnonzero(new)
+    return start[first], end[np.append(first[1:] - 1, len(end) - 1)[: len(first)]]
+
+
+_KEPT = (("id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary()), ("n_passage", pa.int64()), ("dk", pa.int64()))
 
 
 def _strip(last: int):
-    """(id, z, spans, dk) to (id, n_bytes, n_removed, n_spans, kept bytes, n_passage, dk); spans of the length numbered ``last`` are cut, n_passage counts those of the first."""
+    """(id, z, spans, dk) to (id, n_bytes, n_removed, n_spans, kept bytes, n_passage, dk), CUT bytes at a time; spans of the length numbered ``last`` are cut, n_passage counts those of the first."""
+
+    def record(rows: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*rows, strict=True)) or [()] * len(_KEPT)
+        return pa.record_batch([pa.array(c, t) for c, (_, t) in zip(columns, _KEPT, strict=True)], names=[n for n, _ in _KEPT])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
-            out = []
-            for i, z, spans, dk in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                raw = unpack.decompress(z)
-                merged, short = (_merged([(s["s"], s["e"]) for s in spans or () if s["k"] == k]) for k in (last, 0))
-                kept, at = [], 0
-                for s, e in merged:
-                    kept.append(raw[at:s])
-                    at = e
-                kept = b"".join([*kept, raw[at:]])
-                out.append((i, len(raw), len(raw) - len(kept), len(merged), kept, sum(e - s for s, e in short), dk))
-            columns = list(zip(*out, strict=True)) or [()] * 7
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64())
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["id", "n_bytes", "n_removed", "n_spans", "kept", "n_passage", "dk"])
+            spans = batch.column(2).flatten()
+            start, end, kind = (spans.field(spans.type.get_field_index(c)).to_numpy().astype(np.int64) for c in ("s", "e", "k"))
+            sizes = batch.column(2).value_lengths().fill_null(0).to_pylist()
+            out, size, at = [], 0, 0
+            for i, z, n, dk in zip(batch.column(0).to_pylist(), batch.column(1), sizes, batch.column(3).to_pylist(), strict=True):
+                raw = unpack.decompress(z.as_py())
+                s, e, k = start[at : at + n], end[at : at + n], kind[at : at + n]
+                at += n
+                gone, gone_to = _merged(s[k == last], e[k == last])
+                short, short_to = _merged(s[k == 0], e[k == 0]) if last else (gone, gone_to)
+                kept = b"".join(raw[a:b] for a, b in zip([0, *gone_to.tolist()], [*gone.tolist(), len(raw)], strict=True))
+                out.append((i, len(raw), len(raw) - len(kept), len(gone), kept, int((short_to - short).sum()), dk))
+                size += len(kept)
+                if size >= CUT:
+                    yield record(out)
+                    out, size = [], 0
+            yield record(out)
 
     return run
 
