@@ -246,12 +246,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(found, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The documents of ``docs`` whose id is their group's component_id, one row an id; rows without an id stay."""
-    kept = groups.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__kept")).distinct()
-    named = docs.filter(F.col(id_col).isNotNull())
-    chosen = named.join(kept, named[id_col] == kept["__kept"], "left_semi").dropDuplicates([id_col])
-    return chosen.unionAll(docs.filter(F.col(id_col).isNull()))
+def one_of_each(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document of ``docs`` of each group in ``groups(id_col, text_hash, group)``: the one of least id, nulls last, then of least text hash.
+
+    Ids may repeat or be null; a row is known by its id and its text. Rows of
+    equal id and equal text are one document. Other columns stay.
+    """
+    least = F.min(F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.col("text_hash").alias("text_hash")))
+    kept = written(groups.groupBy("group").agg(least.alias("x")).select(F.col("x.id").alias("__id"), F.col("x.text_hash").alias("__hash")))
+    named = docs.withColumn("__own", F.xxhash64(F.coalesce(text_col, F.lit(""))))
+    chosen = named.join(kept, named[id_col].cast("long").eqNullSafe(kept["__id"]) & (named["__own"] == kept["__hash"]), "left_semi")
+    return chosen.dropDuplicates([id_col, "__own"]).select(*docs.columns)
 
 
 def op10_simhash(spark, sf_dir):

@@ -87,8 +87,17 @@ def test_nulls_repeats_and_empty(spark):
     got = sorted((r["doc_id"] or 0, r["component_id"] or 0) for r in H.near_duplicates(docs).collect())
     assert got == [(0, 0), (0, 3), (3, 3), (3, 3)]
     assert H.near_duplicates(docs.limit(0)).count() == 0
-    kept = H.one_of_each(docs, H.near_duplicates(docs)).collect()
-    assert sorted((r["doc_id"] or 0) for r in kept) == [0, 0, 3]
+
+
+def test_one_of_each(spark):
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f"), (None, "alone at last with more words"), (4, long), (4, "quite another text under this id"), (2, long + " end"), (5, None), (6, "")]
+    docs = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, text_hash int")
+    kept = H.one_of_each(docs, D.similar_documents(docs, hashes=True))
+    assert kept.columns == docs.columns
+    assert sorted(((r["doc_id"] or 0), r["text"]) for r in kept.collect() if r["doc_id"] != 5) == [(0, rows[3][1]), (2, rows[6][1]), (3, "a b c d e f"), (4, rows[5][1])]
+    assert kept.filter("doc_id = 5").count() == 1
+    assert H.one_of_each(docs.limit(0), D.similar_documents(docs.limit(0), hashes=True)).count() == 0
 
 
 def test_similar_documents(spark):
