@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +23,8 @@ from pyspark.sql import DataFrame, functions as F
 from runloom.llm.common import arrow_batches, arrow_map, require, utf8
 
 LONG = 256
-#: Pieces that a worker remembers.
-CACHE = 300_000
+#: Pieces that a worker remembers, and characters of one that is worth remembering.
+CACHE, SHORT = 300_000, 64
 _NONE = np.int64(2**62)
 
 
@@ -190,19 +191,33 @@ class Codec:
         cache = self.cache
         new = list({p for s in split for p in s if p not in cache})
         cache.update(zip(new, self.encode_pieces(new), strict=True))
-        return [b"".join([cache[p] for p in s]) for s in split]
+        out = [b"".join([cache[p] for p in s]) for s in split]
+        for p in new:
+            if len(p) > SHORT:
+                del cache[p]
+        return out
 
     def decode(self, ids: bytes) -> bytes:
         """Bytes of little-endian 32-bit ids; unknown ids raise."""
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
+@lru_cache(maxsize=2)
+def codec_of(path: str, pattern: str) -> Codec:
+    """The codec of a rank file; a worker builds its tables once, not once a task."""
+    with open(path, "rb") as f:
+        return Codec.load(f.read(), pattern)
+
+
+#: Texts that are encoded at once.
+PART = 200
+
+
 def _encode(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with open(path, "rb") as f:
-            codec = Codec.load(f.read(), pattern)
+        codec = codec_of(path, pattern)
         for batch in batches:
-            for part in (batch.slice(k, 200) for k in range(0, len(batch), 200)):
+            for part in (batch.slice(k, PART) for k in range(0, len(batch), PART)):
                 ids = codec.encode([t or "" for t in part.column(1).to_pylist()])
                 yield pa.record_batch([part.column(0), pa.array(ids, pa.binary())], names=["id", "ids"])
 
@@ -223,8 +238,7 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id
 
 def _decode(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with open(path, "rb") as f:
-            codec = Codec.load(f.read(), pattern)
+        codec = codec_of(path, pattern)
         for batch in batches:
             at = batch.schema.get_field_index("ids")
             out = [codec.decode(x or b"") for x in batch.column(at).to_pylist()]
@@ -239,10 +253,23 @@ def decode_ids(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_i
     return encoded.select(F.col(id_col).alias("id"), "ids").transform(arrow_map, _decode(path, pattern), "id long, ids binary, decoded binary").withColumnRenamed("id", id_col)
 
 
+def _both(path: str, pattern: str):
+    encode, decode = _encode(path, pattern), _decode(path, pattern)
+    return lambda batches: decode(encode(batches))
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``decode_ids`` of ``encode_texts`` in one pass of the workers."""
+    require(docs, id_col, text_col)
+    arrow_batches(docs.sparkSession)
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col))
+    return rows.transform(arrow_map, _both(path, pattern), "id long, ids binary, decoded binary").withColumnRenamed("id", id_col)
+
+
 def op9_bpe(spark, sf_dir):
     """Ids of every document by the multilingual rank file, and their decoded bytes, as digests."""
     import public_tokenizers
 
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    both = decode_ids(encode_texts(spark.read.parquet(f"{sf_dir}/documents.parquet"), path, pattern), path, pattern)
+    both = round_trip(spark.read.parquet(f"{sf_dir}/documents.parquet"), path, pattern)
     return both.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -52,6 +52,7 @@ def test_round_trip_frame(spark, library):
     for r in rows:
         t = TEXTS[3 if r["doc_id"] is None else r["doc_id"]] or ""
         assert np.frombuffer(r["ids"], "<u4").tolist() == library.encode_ordinary(t) and bytes(r["decoded"]) == t.encode()
+    assert sorted(map(str, bpe.round_trip(docs, MULTI, P.PATTERN).collect())) == sorted(map(str, rows))
     assert bpe.encode_texts(docs.limit(0), MULTI, P.PATTERN).count() == 0
 
 
