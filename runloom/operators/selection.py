@@ -7,23 +7,52 @@ from collections.abc import Mapping
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Fixed values of the contract: interventions with their cost ranks, and the one that each failure mode asks for.
-COSTS = {"prompt_or_policy": 1, "tool_or_schema": 2, "harness_or_runtime": 3, "human_review": 4, "model_training": 5}
-ROUTES = {"ambiguous_instruction": "prompt_or_policy", "policy_gap": "prompt_or_policy", "bad_schema": "tool_or_schema", "missing_tool": "tool_or_schema", "timeout": "harness_or_runtime", "capability_gap": "model_training"}
-
-
-def route(modes: Column, severity: Column, confidence: Column, evidence: Column, routes: Mapping[str, str] = ROUTES, costs: Mapping[str, int] = COSTS) -> Column:
-    """The least-cost intervention that fits a cluster of failures.
+# Fixed values of the contract: interventions from the cheapest to the dearest, and the one that each failure mode asks for.
+INTERVENTIONS = ("prompt_policy", "tool_schema", "parser_runtime", "planner_routing", "memory_retrieval", "guardrail_sandbox", "dataset", "evaluation", "model_training", "human_review")
+MODES = {
+    "prompt_policy": ("ambiguous_instruction", "instruction_conflict", "system_prompt_gap", "low_final_answer_quality"),
+    "tool_schema": ("wrong_tool_selection", "invalid_tool_arguments", "missing_tool_description", "tool_schema_drift"),
+    "parser_runtime": ("tool_result_parse_error", "serialization_error", "runtime_exception", "adapter_normalization_error"),
+    "planner_routing": ("planning_loop", "excessive_retries", "handoff_routing_error", "subagent_coordination_error"),
+    "memory_retrieval": ("retrieval_miss", "stale_memory", "context_selection_error"),
+    "guardrail_sandbox": ("prompt_injection", "forbidden_action", "unsafe_side_effect", "sandbox_escape"),
+    "dataset": ("training_data_contamination", "pii_exposure", "label_error", "duplicate_amplification"),
+    "evaluation": ("insufficient_eval_repeats", "eval_identity_mismatch", "benchmark_leakage"),
+    "human_review": ("grader_disagreement",),
+    "model_training": ("model_capability_shortfall", "capacity_shortfall", "tool_calling_capability_shortfall"),
+}
+ROUTES = {mode: name for name, modes in MODES.items() for mode in modes}
+
+
+def route(modes: Column, severity: Column, confidence: Column, evidence: Column) -> Column:
+    """``(route, reasons)``: the least-cost intervention that fits a cluster of failures, and why.
 
     Critical severity, disagreeing graders or a confidence under 0.6 force human
-    review, as do modes that no route knows and training without evidence.
+    review, as do modes that no route knows and training without evidence. Modes
+    are taken once, in order, without blanks; a null severity is medium, a null
+    confidence 0.
     """
-    table = F.create_map(*[F.lit(x) for p in routes.items() for x in p])
-    rank = F.create_map(*[F.lit(x) for p in costs.items() for x in p])
-    known = F.array_compact(F.transform(modes, lambda m: F.try_element_at(table, m)))
-    cheapest = F.array_min(F.transform(known, lambda r: F.struct(rank[r].alias("cost"), r.alias("route"))))["route"]
-    forced = (severity == "critical") | F.array_contains(modes, "grader_disagreement") | (confidence < 0.6)
-    return F.when(forced | (F.size(known) == 0), "human_review").when((cheapest == "model_training") & ~evidence, "human_review").otherwise(cheapest)
+    table = F.create_map(*[F.lit(x) for p in ROUTES.items() for x in p])
+    rank = F.create_map(*[F.lit(x) for k, name in enumerate(INTERVENTIONS) for x in (name, k)])
+    named = F.array_sort(F.array_distinct(F.filter(F.transform(F.coalesce(modes, F.array().cast("array<string>")), F.trim), lambda m: m != "")))
+    pairs = F.filter(F.transform(named, lambda m: F.struct(m.alias("mode"), F.try_element_at(table, m).alias("route"))), lambda p: p["route"].isNotNull())
+    matched = F.array_distinct(F.transform(pairs, lambda p: F.struct(rank[p["route"]].alias("cost"), p["route"].alias("route"))))
+    forced = F.array_compact(
+        F.array(
+            F.when(F.lower(F.coalesce(severity, F.lit("medium"))) == "critical", "high_impact_requires_human_review"),
+            F.when(F.array_contains(named, "grader_disagreement"), "grader_disagreement_requires_human_review"),
+            F.when(F.coalesce(confidence, F.lit(0.0)) < 0.6, "low_confidence"),
+        )
+    )
+    unproven = (F.array_min(matched)["route"] == "model_training") & ~F.coalesce(evidence, F.lit(False))
+    least = F.concat(
+        F.transform(pairs, lambda p: F.concat(F.lit("matched:"), p["mode"], F.lit("->"), p["route"])),
+        F.array_compact(F.array(F.when(F.size(matched) > 1, "least_cost_adequate_intervention_selected"), F.when(unproven, "model_training_requires_capability_evidence"))),
+    )
+    no_match = F.size(matched) == 0
+    chosen = F.when((F.size(forced) > 0) | no_match | unproven, "human_review").otherwise(F.array_min(matched)["route"])
+    reasons = F.when(F.size(forced) > 0, forced).when(no_match, F.array(F.lit("unknown_failure_class"))).otherwise(least)
+    return F.struct(chosen.alias("route"), reasons.alias("reasons"))
 
 
 def keyword_routes(text: Column, keywords: Mapping[str, tuple[str, ...]]) -> Column:

@@ -8,25 +8,37 @@ from runloom.operators import selection as S
 from runloom.plans.registry import query, with_
 from runloom.session import load
 
-_CLUSTERS_SQL = """
-clu as (select s_suppkey as cluster_id, list_filter([case when s_suppkey % 2 = 0 then 'policy_gap' end, case when s_suppkey % 3 = 0 then 'timeout' end, case when s_suppkey % 5 = 0 then 'capability_gap' end, case when s_suppkey % 23 = 0 then 'grader_disagreement' end], lambda x: x is not null) as modes,
-  case when s_suppkey % 17 = 0 then 'critical' else 'low' end as severity, (s_suppkey % 10) / 10.0::double as confidence, s_acctbal > 2000 as evidence from supplier)"""
+#: Failure modes of the clusters that the suppliers stand for: one of the contract's and two that follow by other strides.
+_NAMES = [*sorted(S.ROUTES), "unheard_of"]
+_MODES_SQL = f"""names as (select {_NAMES!r} as m),
+table_ as (select unnest({list(S.ROUTES)!r}) as mode, unnest({list(S.ROUTES.values())!r}) as route),
+ranks as (select unnest({list(S.INTERVENTIONS)!r}) as route, unnest(range({len(S.INTERVENTIONS)})) as cost),
+clu as (select s_suppkey as cluster_id, m[1 + s_suppkey % {len(_NAMES)}] as m1, case when s_suppkey % 3 = 0 then m[1 + (s_suppkey * 7) % {len(_NAMES)}] end as m2,
+  case when s_suppkey % 17 = 0 then 'CRITICAL' when s_suppkey % 5 > 0 then 'low' end as severity, (s_suppkey % 20) / 20.0::double as confidence, s_acctbal > 2000 as evidence from supplier, names),
+mode_rows as (select distinct cluster_id, trim(mode) as mode from (select cluster_id, m1 as mode from clu union all select cluster_id, m2 from clu) where mode is not null),
+hits as (select r.cluster_id, r.mode, t.route, k.cost from mode_rows r join table_ t on r.mode = t.mode join ranks k on t.route = k.route),
+best as (select cluster_id, arg_min(route, cost) as route, count(distinct route) as n, list('matched:' || mode || '->' || route order by mode) as said from hits group by cluster_id),
+forced as (select cluster_id, list_filter([case when lower(severity) = 'critical' then 'high_impact_requires_human_review' end,
+  case when m1 = 'grader_disagreement' or m2 = 'grader_disagreement' then 'grader_disagreement_requires_human_review' end, case when confidence < 0.6 then 'low_confidence' end], lambda x: x is not null) as why, evidence from clu)"""
 
 
 @query(
     with_(
-        _CLUSTERS_SQL,
-        """select cluster_id, case when severity = 'critical' or list_contains(modes, 'grader_disagreement') or confidence < 0.6 or not (list_contains(modes, 'policy_gap') or list_contains(modes, 'timeout') or list_contains(modes, 'capability_gap')) then 'human_review'
-  when list_contains(modes, 'policy_gap') then 'prompt_or_policy' when list_contains(modes, 'timeout') then 'harness_or_runtime' when not evidence then 'human_review' else 'model_training' end as route from clu""",
+        _MODES_SQL,
+        """select f.cluster_id, case when len(why) > 0 or b.route is null or (b.route = 'model_training' and not evidence) then 'human_review' else b.route end as route,
+array_to_string(case when len(why) > 0 then why when b.route is null then ['unknown_failure_class'] else list_concat(said, list_filter([case when n > 1 then 'least_cost_adequate_intervention_selected' end,
+  case when b.route = 'model_training' and not evidence then 'model_training_requires_capability_evidence' end], lambda x: x is not null)) end, '; ') as reasons
+from forced f left join best b on f.cluster_id = b.cluster_id""",
     )
 )
 def intervention_route(spark, sf_dir):
-    k = F.col("s_suppkey")
-    rows = load(spark, sf_dir, "supplier").select(
-        k.alias("cluster_id"), F.array_compact(F.array(F.when(k % 2 == 0, "policy_gap"), F.when(k % 3 == 0, "timeout"), F.when(k % 5 == 0, "capability_gap"), F.when(k % 23 == 0, "grader_disagreement"))).alias("modes"),
-        F.when(k % 17 == 0, "critical").otherwise("low").alias("severity"), ((k % 10) / 10.0).alias("confidence"), (F.col("s_acctbal") > 2000).alias("evidence"),
-    )
-    return rows.select("cluster_id", S.route(F.col("modes"), F.col("severity"), F.col("confidence"), F.col("evidence")).alias("route"))
+    """The intervention of each cluster of failures, with its reasons."""
+    k, names = F.col("s_suppkey"), F.array(*map(F.lit, _NAMES))
+    at = lambda x: F.element_at(names, (x % len(_NAMES)).cast("int") + 1)
+    modes = F.array_compact(F.array(at(k), F.when(k % 3 == 0, at(k * 7))))
+    severity = F.when(k % 17 == 0, "CRITICAL").when(k % 5 > 0, "low")
+    r = load(spark, sf_dir, "supplier").select(k.alias("cluster_id"), S.route(modes, severity, (k % 20) / 20.0, F.col("s_acctbal") > 2000).alias("r"))
+    return r.select("cluster_id", "r.route", F.array_join("r.reasons", "; ").alias("reasons"))
 
 
 @query("select p_partkey, array_to_string(list_sort(list_filter([case when contains(lower(p_type), 'brass') or contains(lower(p_type), 'steel') then 'metal' end, case when contains(lower(p_type), 'small') then 'size' end, case when contains(lower(p_type), 'promo') then 'offer' end], lambda x: x is not null)), ',') as classes from part")

@@ -68,12 +68,25 @@ def evidence_links(spark, sf_dir):
     return rows.select("run_id", "rule_id", "item_id", "event_index")
 
 
-@query("select doc_id, n_chars, case when n_chars <= 256 then 'short' when n_chars <= 1024 then 'medium' when n_chars <= 4096 then 'long' else 'xlarge' end as bucket, n_chars > 80 as truncated from documents")
+@query("select doc_id, n_chars, case when n_chars <= 512 then 'short' when n_chars <= 1024 then 'medium' when n_chars <= 2048 then 'long' else 'extra_long' end as bucket, n_chars > 80 as truncated from documents")
 def length_buckets(spark, sf_dir):
     rows = load(spark, sf_dir, "documents").withColumn("p", T.preview(F.col("text")))
     return rows.select("doc_id", "n_chars", T.length_bucket(F.col("n_chars")).alias("bucket"), F.col("p.truncated").alias("truncated"))
 
 
+_ENDINGS = ("_good", "-bad", "_Pass_fail", "", "_failing-chosen", "_v2", "_passed", "-REJECTED", "_goodness")
+
+
+@query(
+    """select p_partkey, case when p_partkey % 9 in (3, 5, 6, 8) then split_part(p_type, ' ', 1) || ['_good', '-bad', '_Pass_fail', '', '_failing-chosen', '_v2', '_passed', '-REJECTED', '_goodness'][1 + p_partkey % 9]
+  else split_part(p_type, ' ', 1) end as family from part"""
+)
+def scenario_family(spark, sf_dir):
+    """Families of scenario ids that end in outcome words, or seem to."""
+    ending = F.element_at(F.array(*map(F.lit, _ENDINGS)), (F.col("p_partkey") % 9).cast("int") + 1)
+    return load(spark, sf_dir, "part").select("p_partkey", T.family_of(F.concat(F.split("p_type", " ")[0], ending)).alias("family"))
+
+
 @query("select p_partkey, round(('0x' || substr(sha256(p_name), 1, 16))::ubigint::double / 18446744073709551616.0::double, 9) as u from part")
 def hash_to_unit(spark, sf_dir):
     return load(spark, sf_dir, "part").select("p_partkey", F.round(T.unit_interval(F.col("p_name")), 9).alias("u"))

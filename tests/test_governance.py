@@ -18,16 +18,65 @@ def test_personal_data(spark):
     assert {r["t"]: r["k"] for r in df.collect()} == cases
 
 
+SECRETS = {
+    "api_key=abc123, next": "api_key=[REDACTED], next", 'password: "two words" x': 'password: "[REDACTED]" x', "run --auth-token xyz now": "run --auth-token [REDACTED] now", "token_count=5": None,
+    "secret=[REDACTED]": None, "name=bob": None, "private_key='k'": "private_key='[REDACTED]'", "Authorization: Basic abc def==\nsafe: yes": "Authorization: [REDACTED]\nsafe: yes",
+    "password=several words here; mode=x": "password=[REDACTED]; mode=x", "cookie=c other=d": "cookie=[REDACTED] other=d", "token: a --flag": "token: [REDACTED] --flag", "run --token --verbose": None, "run --secret -v": None,
+    "x=password=p": "x=password=[REDACTED]", "session_id=5 user_hash=6": None, "auth_id=5": "auth_id=[REDACTED]", "bearer: t": "bearer: [REDACTED]", "token=<redacted:env>": None, "token=[REDACTED] tail": "token=[REDACTED]",
+    "accessToken=q": "accessToken=[REDACTED]", "authTokens=3": "authTokens=[REDACTED]", "clientSecretName=3": None, 'password="open\nnext': 'password="[REDACTED]\nnext', "password=\nnext": None, 'k "token": "a\\"b" z': 'k "token": "[REDACTED]" z',
+    "--client-secret a\\ b c": "--client-secret [REDACTED] c", "the token and the password": None, "a.password:b": "a.password:[REDACTED]", "tokenizer=3 monkey=4 passWord=5": None, "APIKey=v, myAPIKEY=w": "APIKey=[REDACTED], myAPIKEY=[REDACTED]",
+}
+
+
 def test_redaction_and_secrets(spark):
-    cases = {
-        "api_key=abc123, next": "api_key=[REDACTED], next", 'password: "two words" x': 'password: "[REDACTED]" x', "run --auth-token xyz now": "run --auth-token [REDACTED] now", "token_count=5": "token_count=5",
-        "secret=[REDACTED]": "secret=[REDACTED]", "name=bob": "name=bob", "private_key='k'": "private_key='[REDACTED]'",
-    }
-    df = spark.createDataFrame([(k,) for k in cases], "t string").select("t", T.redacted(F.col("t")).alias("r"), T.has_secret(F.col("t")).alias("s"))
+    df = spark.createDataFrame([(k,) for k in SECRETS], "t string").select("t", T.redacted(F.col("t")).alias("r"), T.has_secret(F.col("t")).alias("s"))
     for r in df.collect():
-        assert r["r"] == cases[r["t"]]
+        want = SECRETS[r["t"]]
+        assert (r["r"], r["s"]) == (want or r["t"], want is not None), r["t"]
+        assert T.redact(r["t"]) == r["r"] and T.redact(r["r"]) == r["r"]
     assert T.redact("a\nsecret one", ("secret.one",)) == "a\n[REDACTED]"
-    assert T.sanitise({"password": "x", "n": [1, "token=abc"], "credentials": {"user": "u"}}) == {"password": "[REDACTED]", "n": [1, "token=[REDACTED]"], "credentials": {"user": "u"}}
+
+
+def test_credential_literals(spark):
+    mark = "abcdefghij0123456789"
+    found = [f"sk-{mark}", f"sk-proj-{mark}", f"ghp_{mark}", f"github_pat_{mark}", f"xoxb-{mark}", f"xapp-{mark}", f"xwfp-{mark}"]
+    clean = ["sk-short", f"task-{mark}", f"ghq_{mark}", "xapp-1", f"xsk-{mark}"]
+    df = spark.createDataFrame([(x,) for x in found + clean], "t string")
+    assert {r["t"] for r in df.filter(T.has_secret(F.concat(F.lit("see "), F.col("t"), F.lit(" here")))).collect()} == set(found)
+
+
+def parts_of(name):
+    """Parts of a name by a loop over its letters."""
+    out, part = [], ""
+    for i, c in enumerate(name):
+        if not (c.isascii() and c.isalnum()):
+            out, part = [*out, part], ""
+            continue
+        up_low = i + 1 < len(name) and "a" <= name[i + 1] <= "z"
+        if part and "A" <= c <= "Z" and (not "A" <= part[-1] <= "Z" or up_low):
+            out, part = [*out, part], ""
+        part += c
+    return [p.lower() for p in [*out, part] if p]
+
+
+def test_secret_names_against_a_loop(spark):
+    rng = random.Random(5)
+    bits = [*T.SECRET_WORDS, *T.KEY_QUALIFIERS, *T.SAFE_LAST, "key", "api", "apikey", "id", "x", "9"]
+    names = []
+    for _ in range(3000):
+        some = [rng.choice([str.lower, str.capitalize, str.upper])(rng.choice(bits)) for _ in range(rng.randrange(1, 4))]
+        names.append(rng.choice(["", "_", "-", ".", " "]).join(some))
+    got = {r["n"]: r["s"] for r in spark.createDataFrame([(n,) for n in set(names)], "n string").select("n", T.secret_key(F.col("n")).alias("s")).collect()}
+    for n in names:
+        p = parts_of(n)
+        want = (bool(set(p) & set(T.SECRET_WORDS)) or "apikey" in "".join(p) or ("key" in p and bool(set(p) & set(T.KEY_QUALIFIERS)))) and not (len(p) > 1 and p[-1] in T.SAFE_LAST)
+        assert got[n] == want == T.is_secret_key(n), n
+
+
+def test_sanitised_json():
+    assert T.sanitise({"password": "x", "n": [1, "token=abc"], "auth": {"a": 1}, "secret": "", "bearer": "[REDACTED]"}) == {"password": "[REDACTED]", "n": [1, "token=[REDACTED]"], "auth": "[REDACTED]", "secret": "", "bearer": "[REDACTED]"}
+    held = {"credentials": {"user": "u", "list": ["a", {"b": 2}], "token_count": 3, "api_key_env": "E", "password": {"p": "q"}}}
+    assert T.sanitise(held) == {"credentials": {"user": "[REDACTED]", "list": ["[REDACTED]", {"b": "[REDACTED]"}], "token_count": 3, "api_key_env": "E", "password": "[REDACTED]"}}
 
 
 def test_normal_form(spark):
