@@ -21,44 +21,53 @@ def exact_duplicates(rows: DataFrame, key: str, text: str) -> DataFrame:
     back, so that a text that very many rows share is one aggregate row.
     """
     hashed = rows.select(key, F.sha2(T.normalise(F.coalesce(text, F.lit(""))), 256).alias("content"))
-    least = hashed.groupBy("content").agg(F.min(key).alias("representative"), F.count("*").alias("copies"))
+    # A checkpoint, so that the join is between plain exchanges, whose hot partitions Spark splits.
+    least = checkpointed(hashed.groupBy("content").agg(F.min(key).alias("representative"), F.count("*").alias("copies")))
     return hashed.join(least, "content").select(key, "representative", "copies")
 
 
 def token_rows(rows: DataFrame, key: str, text: str) -> DataFrame:
-    """``(key, token, size)``: distinct tokens of each row and how many it has."""
-    sets = rows.select(key, F.array_distinct(T.tokens(F.col(text))).alias("t")).filter(F.size("t") > 0)
+    """``(key, token, size)``: hashes of the distinct tokens of each row and how many it has."""
+    hashes = F.transform(F.array_distinct(T.tokens(F.col(text))), lambda t: F.xxhash64(t))
+    sets = rows.select(key, hashes.alias("t")).filter(F.size("t") > 0)
     return sets.select(key, F.size("t").alias("size"), F.explode("t").alias("token"))
 
 
 def jaccard_pairs(left: DataFrame, right: DataFrame | None, key: str, threshold: float, right_key: str | None = None) -> DataFrame:
     """All pairs of ``token_rows`` whose token sets have a Jaccard similarity of ``threshold`` at least.
 
-    Prefix filtering (Chaudhuri et al., 2006): with tokens in order of rarity,
-    two such sets share one of their first size - ceil(t * size) + 1 tokens, and
-    their sizes are within t of each other. Candidates meet on those rare tokens
-    only; the overlap is then counted over all tokens of the candidates. With
+    Prefix and positional filtering (Chaudhuri et al., 2006; Xiao et al., 2008):
+    with tokens in order of rarity, two such sets share one of their first
+    size - ceil(t * size) + 1 tokens, their sizes are within t of each other, and
+    what follows their first shared token must hold the rest of the overlap.
+    Candidates meet on those rare tokens as pairs of keys only; each set then
+    joins its candidates once and the overlap is counted inside the row. With
     ``right`` None the pairs are of one table, smaller key first.
     """
     other = left if right is None else right
     right_key = right_key or key
     freq = (left if right is None else left.select("token").unionAll(right.select("token"))).groupBy("token").agg(F.count("*").alias("df"))
 
-    def prefix(rows: DataFrame, k: str) -> DataFrame:
-        order = Window.partitionBy(k).orderBy("df", "token")
-        ranked = rows.join(freq, "token").withColumn("rn", F.row_number().over(order))
-        return ranked.filter(F.col("rn") <= F.col("size") - F.ceil(F.lit(threshold) * F.col("size") - 1e-9) + 1).select(k, "token", "size")
+    def sets(rows: DataFrame, k: str) -> DataFrame:
+        ordered = F.array_sort(F.collect_list(F.struct("df", "token")))
+        return checkpointed(rows.join(freq, "token").groupBy(k, "size").agg(F.transform(ordered, lambda x: x["token"]).alias("tokens")))
 
-    a = prefix(left, key).toDF("a", "token", "sa")
-    b = prefix(other, right_key).toDF("b", "token", "sb")
-    fits = (F.col("sb") >= F.ceil(F.lit(threshold) * F.col("sa") - 1e-9)) & (F.col("sa") >= F.ceil(F.lit(threshold) * F.col("sb") - 1e-9))
+    def prefix(rows: DataFrame, k: str, names: list[str]) -> DataFrame:
+        first = F.slice("tokens", F.lit(1), (F.col("size") - F.ceil(F.lit(threshold) * F.col("size") - 1e-9) + 1).cast("int"))
+        return rows.select(k, F.posexplode(first), "size").toDF(*names)
+
+    x = sets(left, key)
+    y = x if right is None else sets(other, right_key)
+    a, b = prefix(x, key, ["a", "i", "token", "sa"]), prefix(y, right_key, ["b", "j", "token", "sb"])
+    both = F.ceil(F.lit(threshold / (1 + threshold)) * (F.col("sa") + F.col("sb")) - 1e-9)
+    fits = (F.least("sa", "sb") >= F.ceil(F.lit(threshold) * F.greatest("sa", "sb") - 1e-9)) & (F.least(F.col("sa") - F.col("i"), F.col("sb") - F.col("j")) >= both)
     if right is None:
         fits = fits & (F.col("a") < F.col("b"))
-    candidates = checkpointed(a.join(b, "token").filter(fits).select("a", "b", "sa", "sb").distinct())
-    ta, tb = left.select(F.col(key).alias("a"), "token"), other.select(F.col(right_key).alias("b"), "token")
-    shared = candidates.join(ta, "a").join(tb, ["b", "token"]).groupBy("a", "b", "sa", "sb").agg(F.count("*").alias("both"))
-    similarity = F.col("both") / (F.col("sa") + F.col("sb") - F.col("both"))
-    return shared.select("a", "b", F.round(similarity, 6).alias("similarity"), similarity.alias("__s")).filter(F.col("__s") >= threshold - 1e-12).drop("__s")
+    candidates = a.join(b, "token").filter(fits).select("a", "b").distinct()
+    met = candidates.join(x.select(F.col(key).alias("a"), F.col("tokens").alias("ta")), "a").join(y.select(F.col(right_key).alias("b"), F.col("tokens").alias("tb")), "b")
+    shared = met.select("a", "b", F.size(F.array_intersect("ta", "tb")).alias("both"), (F.size("ta") + F.size("tb")).alias("sum"))
+    similarity = F.col("both") / (F.col("sum") - F.col("both"))
+    return shared.filter(similarity >= threshold - 1e-12).select("a", "b", F.round(similarity, 6).alias("similarity"))
 
 
 #: Texts of one side of a tile that compares texts of like lengths.
@@ -160,17 +169,27 @@ def clustered_split(clusters: DataFrame, key: str, validation: float = 0.1, test
 
 
 def shingles(rows: DataFrame, key: str, text: str, n: int = 5) -> DataFrame:
-    """``(key, shingle, size)``: hashes of the distinct runs of ``n`` tokens; shorter texts have none."""
-    t = T.tokens(F.col(text))
-    runs = F.transform(F.array(t), lambda w: F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(0), F.size(w) - n), lambda i: F.xxhash64(F.array_join(F.slice(w, i + 1, n), " ")))).otherwise(F.array().cast("array<bigint>")))[0]
-    sets = rows.select(key, F.array_distinct(runs).alias("s"))
-    return sets.select(key, F.size("s").alias("size"), F.explode("s").alias("token"))
+    """``(key, tokens)``: hashes of the distinct runs of ``n`` tokens; shorter texts have none."""
+    hashes = F.transform(T.tokens(F.col(text)), lambda t: F.xxhash64(t))
+    over = lambda h: F.transform(F.sequence(F.lit(0), F.size(h) - n), lambda i: F.xxhash64(*[h[i + k] for k in range(n)]))
+    # The array of hashes is bound once, by a transform over one element.
+    runs = F.transform(F.array(hashes), lambda h: F.when(F.size(h) >= n, over(h)).otherwise(F.array().cast("array<bigint>")))[0]
+    return rows.select(key, F.array_distinct(runs).alias("tokens")).filter(F.size("tokens") > 0)
+
+
+#: Rows of protected shingles up to which they go to every task.
+BROADCAST_ROWS = 2_000_000
 
 
 def max_shingle_overlap(rows: DataFrame, protected: DataFrame, key: str, protected_key: str, text: str) -> DataFrame:
-    """For each row that shares a 5-token shingle with a protected text: the most similar one, ties to the smaller key."""
-    a, b = shingles(rows, key, text), shingles(protected, protected_key, text)
-    both = a.toDF("a", "sa", "token").join(b.toDF("b", "sb", "token"), "token").groupBy("a", "b", "sa", "sb").agg(F.count("*").alias("n"))
+    """For each row that shares a 5-token shingle with a protected text: the most similar one, ties to the smaller key.
+
+    Only shingles that a protected text holds are shuffled: the others fall out in
+    a broadcast join while the protected ones are few, else in a join of hashes.
+    """
+    own = checkpointed(shingles(protected, protected_key, text).select(F.col(protected_key).alias("b"), F.size("tokens").alias("sb"), F.explode("tokens").alias("token")))
+    a = shingles(rows, key, text).select(F.col(key).alias("a"), F.size("tokens").alias("sa"), F.explode("tokens").alias("token"))
+    both = a.join(F.broadcast(own) if own.count() <= BROADCAST_ROWS else own, "token").groupBy("a", "b", "sa", "sb").agg(F.count("*").alias("n"))
     scored = both.withColumn("similarity", F.round(F.col("n") / (F.col("sa") + F.col("sb") - F.col("n")), 6))
     best = F.max_by("b", F.struct("similarity", -F.col("b")))
     return scored.groupBy(F.col("a").alias(key)).agg(F.max("similarity").alias("similarity"), best.alias("matched"))

@@ -21,32 +21,39 @@ def exact_duplicates(spark, sf_dir):
     return G.exact_duplicates(turns(spark, sf_dir), "id", "text")
 
 
+DOCS_SQL = NORM_SQL.replace("select conv_id, turn, conv_id * 1000 + turn as id, text", "select doc_id as id, text").replace("from conversations", "from documents")
+#: The contract's similarity of near duplicates.
+NEAR = 0.9
 _JACCARD_SQL = (
-    NORM_SQL
+    DOCS_SQL
     + """,
 reps as (select min(id) as id, any_value(toks) as toks from norm group by n),
 prs as (
   select a.id as a, b.id as b, len(list_intersect(a.toks, b.toks))::double / len(list_distinct(list_concat(a.toks, b.toks))) as s
-  from reps a join reps b on a.id < b.id and len(a.toks) > 0 and len(b.toks) > 0 and len(b.toks) >= 0.25 * len(a.toks) - 1e-9 and len(a.toks) >= 0.25 * len(b.toks) - 1e-9)"""
+  from reps a join reps b on a.id < b.id and len(a.toks) > 0 and len(b.toks) > 0 and len(b.toks) >= 0.9 * len(a.toks) - 1e-9 and len(a.toks) >= 0.9 * len(b.toks) - 1e-9)"""
 )
 
 
+def docs(spark, sf_dir):
+    return load(spark, sf_dir, "documents").withColumnRenamed("doc_id", "id")
+
+
 def _reps(spark, sf_dir):
-    rows = turns(spark, sf_dir)
+    rows = docs(spark, sf_dir)
     same = G.exact_duplicates(rows, "id", "text").filter("id = representative")
     return rows.join(same, "id", "left_semi")
 
 
-@query(with_(_JACCARD_SQL, "select a, b, round(s, 6) as similarity from prs where s >= 0.25 - 1e-12"))
+@query(with_(_JACCARD_SQL, "select a, b, round(s, 6) as similarity from prs where s >= 0.9 - 1e-12"))
 def token_jaccard_pairs(spark, sf_dir):
-    return G.jaccard_pairs(G.token_rows(_reps(spark, sf_dir), "id", "text"), None, "id", 0.25)
+    return G.jaccard_pairs(G.token_rows(_reps(spark, sf_dir), "id", "text"), None, "id", NEAR)
 
 
 _CLUSTER_SQL = (
     "recursive "
     + _JACCARD_SQL
     + """,
-lnk as (select a, b from prs where s >= 0.25 - 1e-12 union all select b, a from prs where s >= 0.25 - 1e-12),
+lnk as (select a, b from prs where s >= 0.9 - 1e-12 union all select b, a from prs where s >= 0.9 - 1e-12),
 walk as (select id as node, id as here from reps union select w.node, l.b from walk w join lnk l on w.here = l.a),
 comp as (select node, min(here) as cluster from walk group by node),
 clu as (select norm.id, c.cluster from norm join (select n, min(id) as rep from norm group by n) r on norm.n = r.n join comp c on c.node = r.rep)"""
@@ -55,8 +62,8 @@ clu as (select norm.id, c.cluster from norm join (select n, min(id) as rep from
 
 @query(with_(_CLUSTER_SQL, "select id, cluster from clu"))
 def near_dup_clusters(spark, sf_dir):
-    """Clusters of turns by token Jaccard alone, as its SQL has it; the operator's ratio branch is left out here."""
-    return G.near_duplicate_clusters(turns(spark, sf_dir), "id", "text", 0.25, ratio=False)
+    """Clusters of documents by token Jaccard alone, as its SQL has it; ``contamination_clusters`` has the ratio too."""
+    return G.near_duplicate_clusters(docs(spark, sf_dir), "id", "text", NEAR, ratio=False)
 
 
 @query(
