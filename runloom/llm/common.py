@@ -9,13 +9,18 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 #: Rows in one Arrow batch; bounds the Python workers' memory on long texts.
 BATCH_ROWS = 250
 
 
 def arrow_batches(spark: SparkSession) -> None:
-    """Hold Arrow batches to ``BATCH_ROWS`` rows, unless the session asks for fewer still."""
+    """Hold Arrow batches to ``BATCH_ROWS`` rows, unless the session asks for fewer still.
+
+    This is a setting of the session, and it must still hold when the frame runs,
+    so it stays; other Arrow operators of the session get smaller batches by it.
+    """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key, "10000"))
     if now <= 0 or now > BATCH_ROWS:
@@ -32,7 +37,7 @@ def release() -> None:
         pass
 
 
-def arrow_map(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def arrow_map(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """``mapInArrow`` whose worker gives its memory back after each partition."""
 
     def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

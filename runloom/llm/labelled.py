@@ -16,7 +16,7 @@ from runloom.llm.common import arrow_map
 from runloom.session import written
 
 #: Bytes of text that a sample holds for each class at most.
-TOTAL_BYTES = 1 << 25
+TOTAL_BYTES = 1 << 24
 
 
 def fold(id_col: str, folds: int) -> Column:

@@ -17,7 +17,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -271,21 +270,29 @@ def fit_documents(docs: DataFrame, labels: DataFrame, keep, id_col: str = "doc_i
 
 
 def reject_toxic(docs: DataFrame, model: Model, text_col: str = "text", lang_col: str | None = "lang") -> DataFrame:
-    """The rows that the model does not flag at their language's threshold, with all their columns."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    """The rows that the model does not flag at their language's threshold, with all their columns.
+
+    A null or empty text has a score like any other; a null language, or one
+    without a threshold of its own, takes the common one. Null ids and repeated
+    rows are judged like any other; an empty table gives an empty result.
+    """
+    require(docs, text_col)
     arrow_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Whole rows pass through the workers, so that these tidy up after each partition; a last column names the language.
+    rows = docs.withColumn("__lang", F.col(lang_col).cast("string") if lang_col else F.lit(None).cast("string"))
 
-    @F.pandas_udf("boolean")
-    def flagged(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: Model = shared.value
-        rows, tables = own.rows(), own._tables()
-        for text, lang in batches:
-            ids = [np.array(list(map(rows.__getitem__, words_of(t or ""))), np.int64) for t in text]
-            limit = np.array([own.thresholds.get(x, own.threshold) for x in lang])
-            yield pd.Series(own.score(ids, tables) >= limit)
-
-    lang = F.col(lang_col).cast("string") if lang_col else F.lit(None).cast("string")
-    return docs.filter(~flagged(F.col(text_col), lang))
+        words, tables = own.rows(), own._tables()
+        for batch in batches:
+            text = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
+            ids = [np.array(list(map(words.__getitem__, words_of(t or ""))), np.int64) for t in text]
+            limit = np.array([own.thresholds.get(x, own.threshold) for x in batch.column(batch.num_columns - 1).to_pylist()], np.float64)
+            kept = batch.filter(pa.array(own.score(ids, tables) < limit))
+            yield kept.select(list(range(batch.num_columns - 1)))
+
+    return rows.transform(arrow_map, run, docs.schema)
 
 
 def op3_toxicity(spark, sf_dir):
