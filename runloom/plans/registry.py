@@ -28,4 +28,4 @@ def with_(cte: str, rest: str) -> str:
     return f"with {cte.strip()}\n{rest.strip()}"
 
 
-from runloom.plans import comparison, dataset, evaluation, governance, review, selection, streams, structure, traces  # noqa: E402, F401
+from runloom.plans import comparison, dataset, evaluation, gates, governance, review, selection, streams, structure, traces  # noqa: E402, F401
