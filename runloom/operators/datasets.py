@@ -116,3 +116,65 @@ def family_split(families: DataFrame, seed: str = "split-v1", name: str = "task_
 def split_leakage(rows: DataFrame, key: str, split: str = "split") -> DataFrame:
     """Keys that occur in more than one split."""
     return rows.groupBy(key).agg(F.count_distinct(split).alias("splits"), F.count("*").alias("n")).filter("splits > 1")
+
+
+def action_sft(events: DataFrame, cards: DataFrame) -> DataFrame:
+    """``(run_id, prompt, response, messages, action_count, tool_call_count, tool_result_count)`` of runs that may be learnt from.
+
+    A run counts if it passed, has an answer and every call of it names its tool.
+    Its events become chat messages in order: user and assistant texts, calls as
+    assistant messages with their arguments, results as tool messages; the answer
+    comes last unless it is there already. One ordered fold a run.
+    """
+    fit = cards.filter("passed and final_answer is not null").select("run_id", F.col("final_answer").alias("response"))
+    kept = events.filter(F.col("event_type").isin("user_message", "assistant_message", "tool_call", "tool_result")).join(fit, "run_id", "left_semi")
+    role = F.when(F.col("event_type") == "user_message", "user").when(F.col("event_type") == "tool_result", "tool").otherwise("assistant")
+    call = F.col("event_type") == "tool_call"
+    message = F.struct("event_index", role.alias("role"), F.when(call, "").otherwise(F.coalesce("text", F.lit(""))).alias("content"), F.when(call | (role == "tool"), F.col("tool_name")).alias("name"), F.when(call, F.coalesce("args", F.lit("{}"))).alias("arguments"))
+    whole = kept.groupBy("run_id").agg(
+        F.array_sort(F.collect_list(message)).alias("said"), F.count_if(call).alias("tool_call_count"), F.count_if(role == "tool").alias("tool_result_count"),
+        F.count_if(call & (F.coalesce("tool_name", F.lit("")) == "")).alias("nameless"), F.min_by("text", F.when(role == "user", F.col("event_index"))).alias("prompt"),
+    )
+    rows = whole.filter("nameless = 0").join(fit, "run_id")
+    last = F.try_element_at("said", F.lit(-1))
+    closing = F.array(F.struct(F.lit(2**62).cast("long").alias("event_index"), F.lit("assistant").alias("role"), F.col("response").alias("content"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("arguments")))
+    there = F.coalesce((last["role"] == "assistant") & (last["content"] == F.col("response")), F.lit(False))
+    said = F.when(there, F.col("said")).otherwise(F.concat("said", closing))
+    rows = rows.withColumn("messages", F.transform(said, lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"), m["name"].alias("name"), m["arguments"].alias("arguments"))))
+    actions = F.size(F.filter("messages", lambda m: m["role"] == "assistant")).cast("long")
+    return rows.select("run_id", "prompt", "response", "messages", actions.alias("action_count"), "tool_call_count", "tool_result_count")
+
+
+def row_split(rows: DataFrame, families: DataFrame, episodes: DataFrame) -> DataFrame:
+    """``rows`` with their split: by their own family, else their episode's, else that of the chosen or rejected episode, else train.
+
+    ``rows`` may have task_family, episode_id, chosen_episode_id and
+    rejected_episode_id; ``families`` is (task_family, split), ``episodes`` is
+    (episode_id, task_family).
+    """
+    known = episodes.join(families, "task_family").select("episode_id", "split")
+    null = F.lit(None).cast("string")
+    out = rows
+    for c in ("task_family", "episode_id", "chosen_episode_id", "rejected_episode_id"):
+        if c not in rows.columns:
+            out = out.withColumn(c, null)
+    out = out.join(families.toDF("task_family", "__own"), "task_family", "left")
+    for c, name in (("episode_id", "__episode"), ("chosen_episode_id", "__chosen"), ("rejected_episode_id", "__rejected")):
+        out = out.join(known.toDF(c, name), c, "left")
+    # A row that names an episode is decided by it, even where that episode has no family.
+    own = F.coalesce("__own", F.when(F.col("episode_id").isNotNull(), F.coalesce("__episode", F.lit("train"))), "__chosen", "__rejected", F.lit("train"))
+    return out.select(*rows.columns, own.alias("split"))
+
+
+def attributions(failures: DataFrame, evidence: str = "evidence") -> DataFrame:
+    """``(run_id, rule_id, target, event_index, rule_reward_delta)``: what each evidence text of a failed rule blames.
+
+    A text names events as ``event #n``, each of which is blamed; else the final
+    answer if it speaks of it; else the episode. ``failures`` is (run_id, rule_id,
+    penalty, evidence array<string>); no evidence counts as one that names nothing.
+    """
+    texts = F.when(F.size(F.coalesce(F.col(evidence), F.array().cast("array<string>"))) > 0, F.col(evidence)).otherwise(F.array(F.lit("rule failed")))
+    rows = failures.select("run_id", "rule_id", F.round(-F.col("penalty") / 100.0, 6).alias("rule_reward_delta"), F.explode(texts).alias("text"))
+    named = F.regexp_extract_all("text", F.lit(r"event #(\d+)"), F.lit(1)).cast("array<bigint>")
+    target = F.when(F.size(named) > 0, "event").when(F.contains(F.lower("text"), F.lit("final answer")), "final_answer").otherwise("episode")
+    return rows.select("run_id", "rule_id", target.alias("target"), F.explode_outer(named).alias("event_index"), "rule_reward_delta")

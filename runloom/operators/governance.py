@@ -263,3 +263,40 @@ def source_partition(families: DataFrame, group: str, family: str, size: str, ta
     running = F.sum(size).over(w.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)) - F.col(size)
     last = F.row_number().over(w.orderBy(*order)) == F.count("*").over(w)
     return families.withColumn("partition", F.when((running < target) & ~last, "dev").otherwise("train"))
+
+
+def contamination_report(rows: DataFrame, key: str, text: str, split: str, threshold: float = 0.9) -> DataFrame:
+    """``(cluster, rows, texts, splits, exact_duplicate, cross_split)``: clusters of similar rows, and those that straddle splits."""
+    clusters = near_duplicate_clusters(rows, key, text, threshold)
+    named = rows.select(key, split, F.sha2(T.normalise(F.coalesce(text, F.lit(""))), 256).alias("__text")).join(clusters, key)
+    filled = F.when(F.coalesce(F.col(split), F.lit("")) != "", F.col(split))
+    sums = named.groupBy("cluster").agg(F.count("*").alias("rows"), F.count_distinct("__text").alias("texts"), F.count_distinct(filled).alias("splits"))
+    return sums.select("cluster", "rows", "texts", "splits", ((F.col("texts") == 1) & (F.col("rows") > 1)).alias("exact_duplicate"), (F.col("splits") > 1).alias("cross_split"))
+
+
+def quarantine(models: DataFrame, closure: DataFrame) -> DataFrame:
+    """``(model, versions)``: models that were trained on an affected version, with how many; ``models`` is (model, version)."""
+    return models.distinct().join(closure.select("version"), "version", "left_semi").groupBy("model").agg(F.count("*").alias("versions"))
+
+
+def lineage_levels(versions: DataFrame, edges: DataFrame, max_rounds: int = 200) -> DataFrame:
+    """``(version, level)``: the longest way from a version without parents; an order by (level, version) is topological.
+
+    ``edges`` is (parent, child); parents that are no version are left out.
+    Versions leave in rounds, once none of their parents is left; raises if some
+    never do, as a lineage must have no cycle.
+    """
+    known = edges.join(versions.select(F.col("version").alias("parent")), "parent", "left_semi").join(versions.select(F.col("version").alias("child")), "child", "left_semi").distinct()
+    left, known = checkpointed(versions.select("version").distinct()), checkpointed(known)
+    out = None
+    for level in range(max_rounds):
+        if left.isEmpty():
+            return out if out is not None else left.select("version", F.lit(0).alias("level"))
+        ready = checkpointed(left.join(known.select(F.col("child").alias("version")), "version", "left_anti"))
+        if ready.isEmpty():
+            raise ValueError("the lineage has a cycle")
+        named = ready.select("version", F.lit(level).alias("level"))
+        out = checkpointed(named if out is None else out.unionAll(named))
+        left = checkpointed(left.join(ready, "version", "left_anti"))
+        known = checkpointed(known.join(ready.select(F.col("version").alias("parent")), "parent", "left_anti"))
+    raise RuntimeError("lineage is deeper than max_rounds")

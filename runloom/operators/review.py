@@ -6,6 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from runloom.session import checkpointed
+
 
 def checked_labels(labels: DataFrame, items: DataFrame, key: str = "item_id") -> DataFrame:
     """Labels with what is wrong with each: no such item, labelled twice, or a stale content hash; unlabelled rows drop out."""
@@ -147,3 +149,70 @@ def derivation_id(rows: DataFrame, hash_column: str, recipe: str) -> DataFrame:
 
     one = checksum(rows.select(F.lit(1).alias("__one"), hash_column), "__one", [hash_column])
     return one.select(F.sha2(F.concat(F.lit(recipe + "|"), F.col("checksum")), 256).alias("derivation_id"), "n")
+
+
+def once(rows: DataFrame, key: str, what: str) -> DataFrame:
+    """The rows; raises when one is read whose key is null or repeats."""
+    times = checkpointed(rows.groupBy(key).agg(F.count("*").alias("__times")))
+    both = rows.join(times, rows[key].eqNullSafe(times[key])).drop(times[key])
+    bad = F.when(F.col(key).isNull(), f"{what} without {key}").when(F.col("__times") > 1, F.concat(F.lit(f"duplicate {what} for {key} "), F.col(key).cast("string")))
+    return both.withColumn("__ok", F.when(bad.isNotNull(), F.raise_error(bad).cast("boolean")).otherwise(True)).filter("__ok").drop("__ok", "__times")
+
+
+def reviewed_actions(actions: DataFrame, labels: DataFrame, key: str = "episode_id") -> DataFrame:
+    """Action rows that a human accepted, with the label's columns; both sides must hold a key once, or it raises.
+
+    Rows whose tool schemas were inferred although they call tools, and rows that
+    are not eligible, drop out. ``actions`` has provenance, tool_calls, eligible.
+    """
+    accepted = once(labels, key, "reviewed label").filter("human_label = 'accept'")
+    native = once(actions, key, "action row").filter(~((F.col("tool_calls") > 0) & F.col("provenance").startswith("inferred")) & F.coalesce("eligible", F.lit(True)))
+    return native.join(accepted, key)
+
+
+def contract_preferences(rows: DataFrame, key: str = "episode_id") -> DataFrame:
+    """``(contract, chosen, rejected)``: accepted rows with negative ones of the same task contract.
+
+    ``rows`` has contract, supplied (the fingerprint that came with the row, or
+    null), human_label and completion. Raises on a stale fingerprint, on a row
+    paired with itself and on equal completions.
+    """
+    stale = F.col("supplied").isNotNull() & (F.col("supplied") != F.col("contract"))
+    checked = rows.withColumn("contract", F.when(stale, F.raise_error(F.concat(F.lit("stale task contract of "), F.col(key).cast("string"))).cast("string")).otherwise(F.col("contract")))
+    good = checked.filter("human_label = 'accept'").select("contract", F.col(key).alias("chosen"), F.sha2("completion", 256).alias("__c"))
+    bad = checked.filter(F.col("human_label").isin("reject", "unsafe", "incomplete")).select("contract", F.col(key).alias("rejected"), F.sha2("completion", 256).alias("__r"))
+    pairs = good.join(bad, "contract")
+    wrong = F.when(F.col("chosen") == F.col("rejected"), "a row is paired with itself: ").when(F.col("__c") == F.col("__r"), "a pair has equal completions: ")
+    named = F.concat(wrong, F.col("chosen").cast("string"))
+    return pairs.select("contract", F.when(wrong.isNotNull(), F.raise_error(named).cast(dict(rows.dtypes)[key])).otherwise(F.col("chosen")).alias("chosen"), "rejected")
+
+
+def review_coverage(labels: DataFrame, items: DataFrame, episodes: DataFrame) -> DataFrame:
+    """``(item_id, status)``: whether each labelled item has exactly one episode that behaves as the item says.
+
+    ``items`` is (item_id, episode_id, behaviour), ``episodes`` is (episode_id,
+    behaviour). ``missing`` has no item or no episode, ``mismatch`` several
+    episodes or another behaviour, else ``covered``.
+    """
+    found = episodes.groupBy("episode_id").agg(F.count("*").alias("__n"), F.min("behaviour").alias("__seen"))
+    named = labels.select("item_id").distinct().join(items.select("item_id", "episode_id", "behaviour"), "item_id", "left").join(found, "episode_id", "left")
+    status = F.when(F.col("__n").isNull(), "missing").when((F.col("__n") > 1) | ~F.col("behaviour").eqNullSafe(F.col("__seen")), "mismatch").otherwise("covered")
+    return named.select("item_id", status.alias("status"))
+
+
+def grader_queue(labels: DataFrame, least: float = 0.8) -> DataFrame:
+    """``(item_id, route, agreement, ready)``: where a model's label goes, and whether the grader as a whole may be used.
+
+    ``labels`` is (item_id, model_label, human_label, confidence, resolved). A
+    label that differs from the human's, or that is not sure of itself, waits for
+    a human; labels without a human's count as uncompared. The grader is ready
+    when the share of equal labels is ``least`` or more and nothing waits.
+    """
+    compared = F.col("human_label").isNotNull()
+    differs = compared & (F.col("human_label") != F.col("model_label"))
+    waits = (differs | (F.col("confidence") == "low")) & ~F.coalesce("resolved", F.lit(False))
+    route = F.when(differs, "disagreement").when(F.col("confidence") == "low", "low_confidence").when(~compared, "uncompared").otherwise("agreed")
+    rows = labels.select("item_id", route.alias("route"), differs.alias("__d"), compared.alias("__c"), waits.alias("__w"))
+    total = rows.agg(F.round(1 - F.count_if("__d") / F.nullif(F.count_if("__c"), F.lit(0)), 6).alias("agreement"), F.count_if("__w").alias("waiting"))
+    ready = F.coalesce((F.col("agreement") >= least) & (F.col("waiting") == 0), F.lit(False))
+    return rows.crossJoin(F.broadcast(total)).select("item_id", "route", "agreement", ready.alias("ready"))  # one row

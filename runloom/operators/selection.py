@@ -183,3 +183,23 @@ def overlap(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
         n = left.select(k).distinct().join(right.select(k).distinct(), k, "left_semi").agg(F.count("*").alias("shared")).select(F.lit(k).alias("key"), "shared")
         out = n if out is None else out.unionAll(n)
     return out
+
+
+def qualified_partition(families: DataFrame, group: str, family: str, fraction: float, salt: str = "partition-v1") -> DataFrame:
+    """``(group, family, partition)``: families of each group for fitting and for validation.
+
+    The first qualified family in hash order validates; then come others, in hash
+    order, up to ceil(n * fraction) families, but one at least is left to fit.
+    Raises for a group of fewer than two families or two qualified ones.
+    ``families`` has (group, family, qualified).
+    """
+    h = F.sha2(F.concat_ws(":", F.lit(salt), F.col(group).cast("string"), F.col(family).cast("string")), 256)
+    w = Window.partitionBy(group)
+    rows = families.withColumn("__h", h).withColumn("__n", F.count("*").over(w)).withColumn("__q", F.count_if("qualified").over(w))
+    few = (F.col("__n") < 2) | (F.col("__q") < 2)
+    rows = rows.withColumn("__n", F.when(few, F.raise_error(F.concat(F.lit("too few families in "), F.col(group).cast("string"))).cast("long")).otherwise(F.col("__n")))
+    # The qualified come first, so rank 1 is the first of them; the others follow in hash order whatever they are.
+    first = rows.withColumn("__first", F.row_number().over(w.orderBy(F.desc("qualified"), "__h", family)) == 1)
+    ranked = first.withColumn("__r", F.row_number().over(w.orderBy(F.desc("__first"), "__h", family)))
+    wanted = F.least(F.greatest(F.lit(1), F.ceil(F.col("__n") * fraction)), F.col("__n") - 1)
+    return ranked.select(group, family, F.when(F.col("__r") <= wanted, "validation").otherwise("fit").alias("partition"))

@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from runloom.functions import text as T
+
 LEAF = StructType([StructField("path", StringType()), StructField("kind", StringType()), StructField("value", StringType())])
 
 
@@ -181,3 +183,52 @@ def forbidden_text(rows: DataFrame, key: str, text: str, literals: list[str]) ->
 def evidence_links(rules: DataFrame, key: str) -> DataFrame:
     """One row for each item of each rule that points at an event."""
     return rules.select(key, F.posexplode("items").alias("position", "x")).filter("x.event_index is not null").select(key, "x.rule_id", "x.item_id", "position", "x.event_index")
+
+
+def task_contract(prompt: Column, system: Column, tools: Column) -> Column:
+    """Fingerprint of what a task asks: SHA-256 of canonical JSON of the normalised prompt, system texts and tool names."""
+    fields = F.struct(T.normalise(F.coalesce(prompt, F.lit(""))).alias("prompt"), F.coalesce(system, F.array().cast("array<string>")).alias("system"), F.array_sort(F.coalesce(tools, F.array().cast("array<string>"))).alias("tools"))
+    return F.sha2(F.to_json(fields), 256)
+
+
+def identity_key(*parts: Column) -> Column:
+    """A key that tells null from empty and never runs parts together: lengths before texts."""
+    told = [F.coalesce(F.concat(F.length(p.cast("string")).cast("string"), F.lit(":"), p.cast("string")), F.lit("-")) for p in parts]
+    return F.concat_ws("|", *told)
+
+
+def assign_path(text: Column, path: tuple[str, ...], value: Column) -> Column:
+    """JSON objects with ``value`` (JSON text) at a path of names; objects on the way are made, other kinds on it replaced.
+
+    Names stay in order with a new one last; text that is no object counts as
+    the empty one.
+    """
+    kind = "map<string,variant>"
+    entries = F.coalesce(F.map_entries(F.try_variant_get(F.try_parse_json(text), "$", kind)), F.array().cast("array<struct<key:string,value:variant>>"))
+    head, rest = path[0], path[1:]
+    own = F.to_json(F.element_at(F.filter(entries, lambda e: e["key"] == head), 1)["value"]) if rest else None
+    new = assign_path(F.coalesce(own, F.lit("{}")), rest, value) if rest else value
+    names = F.transform(F.filter(entries, lambda e: e["key"] != head), lambda e: F.concat(_quoted(e["key"]), F.lit(":"), F.to_json(e["value"])))
+    return F.concat(F.lit("{"), F.array_join(F.concat(names, F.array(F.concat(_quoted(F.lit(head)), F.lit(":"), new))), ","), F.lit("}"))
+
+
+def _quoted(name: Column) -> Column:
+    """A name in JSON, out of an object of one field."""
+    told = F.to_json(F.struct(name.alias("k")))
+    return F.substring(told, F.lit(6), F.length(told) - 6)
+
+
+def summary(passed: Column, score: Column, critical: Column) -> Column:
+    """One sentence on a scorecard; the wording is a fixed value of the contract."""
+    said = score.cast("string")
+    return (
+        F.when(passed, F.concat(F.lit("PASS: score "), said, F.lit(", no critical failures.")))
+        .when(F.size(critical) > 0, F.concat(F.lit("FAIL: score "), said, F.lit(", critical failures: "), F.array_join(critical, ", "), F.lit(".")))
+        .otherwise(F.concat(F.lit("FAIL: score "), said, F.lit(" below threshold.")))
+    )
+
+
+def bounded(rows: DataFrame, most: int, *order: Column | str) -> DataFrame:
+    """The first ``most`` rows of a report in an order, each with how many there are in all; the bound is the report's feature."""
+    total = rows.agg(F.count("*").alias("total"))
+    return rows.orderBy(*order).limit(most).crossJoin(F.broadcast(total)).withColumn("truncated", F.col("total") > most)  # one row

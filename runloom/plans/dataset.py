@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from runloom.operators import datasets as D
 from runloom.plans.registry import query, with_
 from runloom.plans.traces import rules, scores
-from runloom.plans.views import SCORES_SQL
+from runloom.plans.views import SCORES_SQL, trace_events
 from runloom.session import load
 
 
@@ -164,3 +164,75 @@ def split_leakage(spark, sf_dir):
     part = load(spark, sf_dir, "part").withColumnRenamed("p_brand", "task_family")
     rows = part.join(D.family_split(part), "task_family").withColumnRenamed("p_type", "key")
     return D.split_leakage(rows, "key")
+
+
+_ACTION_SQL = (
+    SCORES_SQL
+    + """,
+fit as (select s.run_id, r.final_answer as response from scores s join runs r on s.run_id = r.run_id where s.passed and r.final_answer is not null),
+msg as (
+  select ev.run_id, event_index, event_type, case event_type when 'user_message' then 'user:' || text when 'tool_result' then 'tool:' || tool_name || ':' || text when 'assistant_message' then 'assistant:' || text
+    else 'call:' || tool_name || ':' || coalesce(props, '{}') end as said
+  from ev join fit on ev.run_id = fit.run_id where event_type in ('user_message', 'assistant_message', 'tool_call', 'tool_result'))"""
+)
+
+
+@query(
+    with_(
+        _ACTION_SQL,
+        """select m.run_id, sha256(string_agg(said, chr(10) order by event_index) || chr(10) || 'assistant:' || any_value(response)) as messages_sha256, count(*) filter (where event_type = 'tool_call')::bigint + 1 as action_count,
+  count(*) filter (where event_type = 'tool_call')::bigint as tool_call_count, count(*) filter (where event_type = 'tool_result')::bigint as tool_result_count
+from msg m join fit on m.run_id = fit.run_id group by m.run_id""",
+    )
+)
+def action_sft_view(spark, sf_dir):
+    """Runs that passed, as chat messages with their calls; the digest is of all messages in order."""
+    rows = D.action_sft(trace_events(spark, sf_dir).withColumn("args", F.col("props")), scores(spark, sf_dir))
+    call = lambda m: m["arguments"].isNotNull()
+    line = lambda m: F.when(call(m), F.concat(F.lit("call:"), m["name"], F.lit(":"), m["arguments"])).when(m["role"] == "tool", F.concat(F.lit("tool:"), m["name"], F.lit(":"), m["content"])).otherwise(F.concat(m["role"], F.lit(":"), m["content"]))
+    return rows.select("run_id", F.sha2(F.array_join(F.transform("messages", line), "\n"), 256).alias("messages_sha256"), "action_count", "tool_call_count", "tool_result_count")
+
+
+_ROW_SPLIT_SQL = (
+    _SPLIT_SQL.strip()
+    + """,
+ep as (select p_partkey as episode_id, p_brand as task_family from part),
+es as (select episode_id, split from ep join sp on ep.task_family = sp.task_family),
+rw as (select l_orderkey * 10 + l_linenumber as row_id, case when l_linenumber % 4 = 0 then (select min(p_brand) from part) when l_linenumber % 4 = 3 then 'no_family' end as task_family, case when l_linenumber % 4 in (1, 3) then l_partkey when l_linenumber = 5 then -1 end as episode_id,
+  case when l_linenumber % 4 = 2 then case when l_suppkey % 2 = 0 then -l_partkey else l_partkey end end as chosen, case when l_linenumber % 4 = 2 then l_suppkey end as rejected from lineitem)"""
+)
+
+
+@query(
+    with_(
+        _ROW_SPLIT_SQL,
+        """select row_id, coalesce(s.split, case when rw.episode_id is not null then coalesce(e.split, 'train') end, c.split, r.split, 'train') as split
+from rw left join sp s on rw.task_family = s.task_family left join es e on rw.episode_id = e.episode_id left join es c on rw.chosen = c.episode_id left join es r on rw.rejected = r.episode_id""",
+    )
+)
+def row_splits(spark, sf_dir):
+    """Rows of several artifacts by family, else episode, else pair, else train."""
+    part = load(spark, sf_dir, "part").withColumnRenamed("p_brand", "task_family")
+    least = part.agg(F.min("task_family").alias("least"))
+    n, p = F.col("l_linenumber"), F.col("l_partkey")
+    rows = load(spark, sf_dir, "lineitem").crossJoin(F.broadcast(least)).select(  # one row
+        (F.col("l_orderkey") * 10 + n).alias("row_id"), F.when(n % 4 == 0, F.col("least")).when(n % 4 == 3, "no_family").alias("task_family"), F.when((n % 4).isin(1, 3), p).when(n == 5, -1).alias("episode_id"),
+        F.when(n % 4 == 2, F.when(F.col("l_suppkey") % 2 == 0, -p).otherwise(p)).alias("chosen_episode_id"), F.when(n % 4 == 2, F.col("l_suppkey")).alias("rejected_episode_id"),
+    )
+    return D.row_split(rows, D.family_split(part), part.select(F.col("p_partkey").alias("episode_id"), "task_family")).select("row_id", "split")
+
+
+@query(
+    """with f as (select o_orderkey as run_id, o_orderpriority as rule_id, o_custkey % 40 as penalty,
+  case o_orderkey % 4 when 0 then ['event #' || (o_custkey % 9)::varchar || ' and event #' || (o_custkey % 7)::varchar || ' differ'] when 1 then ['The Final Answer lacks it', 'nothing'] when 2 then ['no place'] else [] end as ev from orders),
+t as (select run_id, rule_id, round(-penalty / 100.0::double, 6) as rule_reward_delta, unnest(case when len(ev) = 0 then ['rule failed'] else ev end) as text from f),
+n as (select *, regexp_extract_all(text, 'event #(\\d+)', 1) as named from t)
+select run_id, rule_id, case when len(named) > 0 then 'event' when contains(lower(text), 'final answer') then 'final_answer' else 'episode' end as target, unnest(case when len(named) > 0 then named else [null] end)::bigint as event_index, rule_reward_delta from n"""
+)
+def reward_attribution(spark, sf_dir):
+    """What the evidence of failed rules blames: events by number, the final answer, or the episode."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    named = F.concat(F.lit("event #"), (c % 9).cast("string"), F.lit(" and event #"), (c % 7).cast("string"), F.lit(" differ"))
+    texts = F.when(k % 4 == 0, F.array(named)).when(k % 4 == 1, F.array(F.lit("The Final Answer lacks it"), F.lit("nothing"))).when(k % 4 == 2, F.array(F.lit("no place"))).otherwise(F.array().cast("array<string>"))
+    rows = load(spark, sf_dir, "orders").select(k.alias("run_id"), F.col("o_orderpriority").alias("rule_id"), (c % 40).alias("penalty"), texts.alias("evidence"))
+    return D.attributions(rows)

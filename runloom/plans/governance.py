@@ -209,3 +209,37 @@ def sequence_matcher_similarity(spark, sf_dir):
     a, b = F.array_distinct(T.tokens(F.col("before"))), F.array_distinct(T.tokens(F.col("text")))
     jaccard = F.coalesce(F.size(F.array_intersect(a, b)) / F.nullif(F.size(F.array_union(a, b)), F.lit(0)), F.lit(1.0))
     return rows.select("id", F.round(jaccard, 6).alias("jaccard"), F.round(F.greatest(jaccard, T.sequence_ratio(T.normalise(F.col("before")), T.normalise(F.col("text")))), 6).alias("similarity"))
+
+
+@query()
+def contamination_report(spark, sf_dir):
+    """Clusters of first turns by tokens or matching blocks, and those that straddle splits; beyond SQL, tested against all pairs."""
+    first = load(spark, sf_dir, "conversations").filter("role = 'user'").groupBy("conv_id").agg(F.min_by("text", "turn").alias("text"))
+    split = F.when(F.col("conv_id") % 5 == 0, "test").when(F.col("conv_id") % 7 != 0, "train")
+    return G.contamination_report(first.withColumn("split", split), "conv_id", "text", "split")
+
+
+@query(
+    with_(
+        "recursive " + _LINEAGE_SQL + ", mdl as (select distinct l_orderkey % 100 as model, l_suppkey as version from lineitem)",
+        "select model, count(*)::bigint as versions from mdl join cls on mdl.version = cls.version group by model",
+    )
+)
+def model_quarantine(spark, sf_dir):
+    """Models that learnt from a version that a deletion affects."""
+    models = load(spark, sf_dir, "lineitem").select((F.col("l_orderkey") % 100).alias("model"), F.col("l_suppkey").alias("version"))
+    return G.quarantine(models, _lineage(spark, sf_dir))
+
+
+@query(
+    """with recursive edg as (select s_suppkey // 2 as parent, s_suppkey as child from supplier where s_suppkey % 5 <> 0 and s_suppkey // 2 in (select s_suppkey from supplier)
+  union select s_suppkey // 3, s_suppkey from supplier where s_suppkey % 4 = 0 and s_suppkey // 3 in (select s_suppkey from supplier)),
+walk as (select s_suppkey as version, 0 as level from supplier union select e.child, w.level + 1 from walk w join edg e on w.version = e.parent)
+select version, max(level)::integer as level from walk group by version"""
+)
+def lineage_order(spark, sf_dir):
+    """Versions with the longest way from a root: a topological order; cycles raise."""
+    s = load(spark, sf_dir, "supplier")
+    half = s.filter("s_suppkey % 5 <> 0").select(F.floor(F.col("s_suppkey") / 2).cast("long").alias("parent"), F.col("s_suppkey").alias("child"))
+    third = s.filter("s_suppkey % 4 = 0").select(F.floor(F.col("s_suppkey") / 3).cast("long").alias("parent"), F.col("s_suppkey").alias("child"))
+    return G.lineage_levels(s.select(F.col("s_suppkey").alias("version")), half.unionAll(third))

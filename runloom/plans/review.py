@@ -188,3 +188,56 @@ def four_arm_non_inferiority(spark, sf_dir):
 def derivation_identity(spark, sf_dir):
     """Identity of the documents under a recipe; the checksum is tested on its own."""
     return R.derivation_id(load(spark, sf_dir, "documents").select(F.sha2("text", 256).alias("h")), "h", "recipe-v1")
+
+
+@query(
+    """with act as (select o_orderkey as episode_id, case when o_orderkey % 6 = 0 then 'inferred_schema' else 'recorded_exact' end as provenance, o_custkey % 3 as calls, o_orderkey % 10 <> 0 as eligible, o_orderpriority as task from orders),
+lab as (select o_orderkey as episode_id, case when o_orderkey % 3 = 0 then 'accept' when o_orderkey % 3 = 1 then 'reject' end as human_label from orders where o_orderkey % 2 = 0)
+select a.episode_id, a.task, provenance from act a join lab l on a.episode_id = l.episode_id where human_label = 'accept' and not (calls > 0 and starts_with(provenance, 'inferred')) and eligible"""
+)
+def reviewed_actions(spark, sf_dir):
+    """Accepted action rows; keys that repeat would raise."""
+    k = F.col("o_orderkey")
+    orders = load(spark, sf_dir, "orders")
+    actions = orders.select(k.alias("episode_id"), F.when(k % 6 == 0, "inferred_schema").otherwise("recorded_exact").alias("provenance"), (F.col("o_custkey") % 3).alias("tool_calls"), (k % 10 != 0).alias("eligible"), F.col("o_orderpriority").alias("task"))
+    labels = orders.filter(k % 2 == 0).select(k.alias("episode_id"), F.when(k % 3 == 0, "accept").when(k % 3 == 1, "reject").alias("human_label"))
+    return R.reviewed_actions(actions, labels).select("episode_id", "task", "provenance")
+
+
+@query(
+    """with r as (select c_custkey as id, c_mktsegment || (c_custkey % 40)::varchar as contract, case c_custkey % 3 when 0 then 'accept' when 1 then 'reject' else 'skip' end as l from customer)
+select a.contract, a.id as chosen, b.id as rejected from r a join r b on a.contract = b.contract and a.l = 'accept' and b.l = 'reject'"""
+)
+def contract_preferences(spark, sf_dir):
+    """Accepted and rejected rows of one task contract; stale contracts, self pairs and equal completions would raise."""
+    k = F.col("c_custkey")
+    contract = F.concat(F.col("c_mktsegment"), (k % 40).cast("string"))
+    rows = load(spark, sf_dir, "customer").select(k.alias("episode_id"), contract.alias("contract"), F.when(k % 2 == 0, contract).alias("supplied"), F.when(k % 3 == 0, "accept").when(k % 3 == 1, "reject").otherwise("skip").alias("human_label"), F.col("c_name").alias("completion"))
+    return R.contract_preferences(rows)
+
+
+@query(
+    """with lab as (select p_partkey as item_id from part where p_partkey % 2 = 0), itm as (select p_partkey as item_id, p_partkey % 300 as episode_id, p_size % 2 as behaviour from part where p_partkey % 7 <> 0),
+eps as (select s_suppkey as episode_id, s_suppkey % 2 as behaviour from supplier union all select s_suppkey, 1 from supplier where s_suppkey % 6 = 0),
+f as (select episode_id, count(*) as n, min(behaviour) as seen from eps group by episode_id)
+select lab.item_id, case when n is null then 'missing' when n > 1 or behaviour <> seen then 'mismatch' else 'covered' end as status from lab left join itm on lab.item_id = itm.item_id left join f on itm.episode_id = f.episode_id"""
+)
+def review_coverage(spark, sf_dir):
+    """Whether each reviewed item has exactly one episode that behaves alike."""
+    part, s = load(spark, sf_dir, "part"), load(spark, sf_dir, "supplier")
+    p, k = F.col("p_partkey"), F.col("s_suppkey")
+    items = part.filter(p % 7 != 0).select(p.alias("item_id"), (p % 300).alias("episode_id"), (F.col("p_size") % 2).cast("long").alias("behaviour"))
+    episodes = s.select(k.alias("episode_id"), (k % 2).alias("behaviour")).unionAll(s.filter(k % 6 == 0).select(k, F.lit(1).cast("long")))
+    return R.review_coverage(part.filter(p % 2 == 0).select(p.alias("item_id")), items, episodes)
+
+
+@query(
+    """with l as (select doc_id as item_id, toxic as m, quality as h, case when doc_id % 4 = 0 then 'low' else 'high' end as c, doc_id % 3 = 0 as resolved from labels),
+r as (select *, h is not null and m <> h as d from l), t as (select round(1 - count(*) filter (where d)::double / nullif(count(h), 0), 6) as agreement, count(*) filter (where (d or c = 'low') and not resolved) as waiting from r)
+select item_id, case when d then 'disagreement' when c = 'low' then 'low_confidence' when h is null then 'uncompared' else 'agreed' end as route, agreement, coalesce(agreement >= 0.8 and waiting = 0, false) as ready from r, t"""
+)
+def grader_queue(spark, sf_dir):
+    """Where each model label goes, and whether the grader may be used."""
+    k = F.col("doc_id")
+    rows = load(spark, sf_dir, "labels").select(k.alias("item_id"), F.col("toxic").alias("model_label"), F.col("quality").alias("human_label"), F.when(k % 4 == 0, "low").otherwise("high").alias("confidence"), (k % 3 == 0).alias("resolved"))
+    return R.grader_queue(rows)

@@ -167,3 +167,15 @@ union all select 'o_totalprice', count(*)::bigint from (select o_totalprice from
 def disjointness(spark, sf_dir):
     rows = load(spark, sf_dir, "orders")
     return S.overlap(rows.filter("o_orderkey % 2 = 0"), rows.filter("o_orderkey % 2 = 1"), ["o_custkey", "o_totalprice"])
+
+
+@query(
+    """with f as (select distinct p_size % 3 as grp, p_brand as family from part), q as (select f.*, sha256('partition-v1:' || grp::varchar || ':' || family) as h, ascii(right(family, 1)) % 2 = 1 as qualified from f),
+r as (select *, count(*) over (partition by grp) as n, row_number() over (partition by grp order by qualified desc, h, family) as rn from q),
+s as (select *, row_number() over (partition by grp order by rn = 1 desc, h, family) as pos from r)
+select grp, family, case when pos <= least(greatest(1, ceil(n * 0.2)), n - 1) then 'validation' else 'fit' end as "partition" from s"""
+)
+def qualified_partition(spark, sf_dir):
+    """Families for fitting and validation, one qualified family first."""
+    rows = load(spark, sf_dir, "part").select((F.col("p_size") % 3).alias("grp"), F.col("p_brand").alias("family")).distinct()
+    return S.qualified_partition(rows.withColumn("qualified", F.ascii(F.right("family", F.lit(1))) % 2 == 1), "grp", "family", 0.2)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from runloom.functions import text as T
 from runloom.operators import structure as S
 from runloom.plans.registry import query, with_
-from runloom.plans.traces import scored
+from runloom.plans.traces import rules, scored, scores
 from runloom.plans.views import SCORES_SQL
 from runloom.session import load
 
@@ -90,3 +90,45 @@ def scenario_family(spark, sf_dir):
 @query("select p_partkey, round(('0x' || substr(sha256(p_name), 1, 16))::ubigint::double / 18446744073709551616.0::double, 9) as u from part")
 def hash_to_unit(spark, sf_dir):
     return load(spark, sf_dir, "part").select("p_partkey", F.round(T.unit_interval(F.col("p_name")), 9).alias("u"))
+
+
+@query(
+    """select conv_id, sha256('{"prompt":"' || array_to_string(regexp_extract_all(replace(lower(coalesce(text, '')), 'ß', 'ss'), '[a-z0-9]+'), ' ') || '","system":["be brief"],"tools":["read","tool_' || (conv_id % 3)::varchar || '"]}') as contract
+from (select conv_id, arg_min(text, turn) as text from conversations where role = 'user' group by conv_id)"""
+)
+def task_contracts(spark, sf_dir):
+    """Fingerprints of what the first user turn of each conversation asks."""
+    first = load(spark, sf_dir, "conversations").filter("role = 'user'").groupBy("conv_id").agg(F.min_by("text", "turn").alias("text"))
+    tools = F.array(F.concat(F.lit("tool_"), (F.col("conv_id") % 3).cast("string")), F.lit("read"))
+    return first.select("conv_id", S.task_contract(F.col("text"), F.array(F.lit("be brief")), tools).alias("contract"))
+
+
+@query("select c_custkey, case when c_custkey % 3 = 0 then '-' else length(c_mktsegment)::varchar || ':' || c_mktsegment end || '|' || length(c_nationkey::varchar)::varchar || ':' || c_nationkey::varchar as identity from customer")
+def identity_keys(spark, sf_dir):
+    return load(spark, sf_dir, "customer").select("c_custkey", S.identity_key(F.when(F.col("c_custkey") % 3 != 0, F.col("c_mktsegment")), F.col("c_nationkey")).alias("identity"))
+
+
+@query("""select event_id, '{"k":' || json_extract_string(props, '$.k') || ',"seen":{"at":' || event_id::varchar || '}}' as props from events""")
+def assigned_paths(spark, sf_dir):
+    """Events with their number put into their JSON at a path that is not there yet."""
+    return load(spark, sf_dir, "events").select("event_id", S.assign_path(F.col("props"), ("seen", "at"), F.col("event_id").cast("string")).alias("props"))
+
+
+@query(
+    with_(
+        SCORES_SQL,
+        """select s.run_id, case when s.passed then 'PASS: score ' || score::varchar || ', no critical failures.' when n > 0 then 'FAIL: score ' || score::varchar || ', critical failures: ' || names || '.' else 'FAIL: score ' || score::varchar || ' below threshold.' end as summary
+from scores s left join (select run_id, count(*) as n, string_agg(rule_id, ', ' order by rule_id) as names from rules where not passed and penalty >= 30 group by run_id) c on s.run_id = c.run_id""",
+    )
+)
+def scorecard_summaries(spark, sf_dir):
+    """One sentence a scorecard; rules of 30 points or more are critical here."""
+    critical = rules(spark, sf_dir).filter("not passed and penalty >= 30").groupBy("run_id").agg(F.array_sort(F.collect_list("rule_id")).alias("critical"))
+    rows = scores(spark, sf_dir).join(critical, "run_id", "left")
+    return rows.select("run_id", S.summary(F.col("passed"), F.col("score"), F.coalesce("critical", F.array().cast("array<string>"))).alias("summary"))
+
+
+@query("select *, (select count(*) from documents where contains(text, 'rights'))::bigint as total, (select count(*) from documents where contains(text, 'rights')) > 20 as truncated from (select doc_id, n_chars from documents where contains(text, 'rights') order by n_chars desc, doc_id limit 20)")
+def bounded_findings(spark, sf_dir):
+    """The first twenty findings of a report with how many there are; the bound is the report's."""
+    return S.bounded(load(spark, sf_dir, "documents").filter(F.contains("text", F.lit("rights"))).select("doc_id", "n_chars"), 20, F.desc("n_chars"), "doc_id")
