@@ -206,7 +206,7 @@ def assign_path(text: Column, path: tuple[str, ...], value: Column) -> Column:
     kind = "map<string,variant>"
     entries = F.coalesce(F.map_entries(F.try_variant_get(F.try_parse_json(text), "$", kind)), F.array().cast("array<struct<key:string,value:variant>>"))
     head, rest = path[0], path[1:]
-    own = F.to_json(F.element_at(F.filter(entries, lambda e: e["key"] == head), 1)["value"]) if rest else None
+    own = F.to_json(F.get(F.filter(entries, lambda e: e["key"] == head), 0)["value"]) if rest else None
     new = assign_path(F.coalesce(own, F.lit("{}")), rest, value) if rest else value
     names = F.transform(F.filter(entries, lambda e: e["key"] != head), lambda e: F.concat(_quoted(e["key"]), F.lit(":"), F.to_json(e["value"])))
     return F.concat(F.lit("{"), F.array_join(F.concat(names, F.array(F.concat(_quoted(F.lit(head)), F.lit(":"), new))), ","), F.lit("}"))

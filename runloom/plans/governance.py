@@ -232,14 +232,14 @@ def model_quarantine(spark, sf_dir):
 
 
 @query(
-    """with recursive edg as (select s_suppkey // 2 as parent, s_suppkey as child from supplier where s_suppkey % 5 <> 0 and s_suppkey // 2 in (select s_suppkey from supplier)
-  union select s_suppkey // 3, s_suppkey from supplier where s_suppkey % 4 = 0 and s_suppkey // 3 in (select s_suppkey from supplier)),
+    """with recursive edg as (select s_suppkey // 2 as parent, s_suppkey as child from supplier where s_suppkey % 5 <> 0 and s_suppkey > 0 and s_suppkey // 2 in (select s_suppkey from supplier)
+  union select s_suppkey // 3, s_suppkey from supplier where s_suppkey % 4 = 0 and s_suppkey > 0 and s_suppkey // 3 in (select s_suppkey from supplier)),
 walk as (select s_suppkey as version, 0 as level from supplier union select e.child, w.level + 1 from walk w join edg e on w.version = e.parent)
 select version, max(level)::integer as level from walk group by version"""
 )
 def lineage_order(spark, sf_dir):
-    """Versions with the longest way from a root: a topological order; cycles raise."""
+    """Versions with the longest way from a root: a topological order; cycles raise. Number 0 would be its own parent and is a root."""
     s = load(spark, sf_dir, "supplier")
-    half = s.filter("s_suppkey % 5 <> 0").select(F.floor(F.col("s_suppkey") / 2).cast("long").alias("parent"), F.col("s_suppkey").alias("child"))
-    third = s.filter("s_suppkey % 4 = 0").select(F.floor(F.col("s_suppkey") / 3).cast("long").alias("parent"), F.col("s_suppkey").alias("child"))
+    half = s.filter("s_suppkey % 5 <> 0 and s_suppkey > 0").select(F.floor(F.col("s_suppkey") / 2).cast("long").alias("parent"), F.col("s_suppkey").alias("child"))
+    third = s.filter("s_suppkey % 4 = 0 and s_suppkey > 0").select(F.floor(F.col("s_suppkey") / 3).cast("long").alias("parent"), F.col("s_suppkey").alias("child"))
     return G.lineage_levels(s.select(F.col("s_suppkey").alias("version")), half.unionAll(third))

@@ -216,3 +216,50 @@ def test_checksum_ignores_order(spark, parts):
     want = X.checksum(df, "g", ["id"]).orderBy("g").collect()
     assert X.checksum(df.orderBy(F.desc("id")).repartition(parts), "g", ["id"]).orderBy("g").collect() == want
     assert X.checksum(df.filter("id <> 7"), "g", ["id"]).orderBy("g").collect() != want
+
+
+def test_lineage_levels(spark):
+    versions = spark.createDataFrame([(i,) for i in range(1, 6)], "version long")
+    edges = [(1, 2), (2, 3), (1, 3), (3, 4), (9, 5), (1, 2)]
+    levels = G.lineage_levels(versions, spark.createDataFrame(edges, "parent long, child long"))
+    assert sorted(map(tuple, levels.select("version", "level").collect())) == [(1, 0), (2, 1), (3, 2), (4, 3), (5, 0)]
+    for cycle in ((4, 2), (5, 5)):
+        with pytest.raises(ValueError, match="cycle"):
+            G.lineage_levels(versions, spark.createDataFrame([*edges, cycle], "parent long, child long")).collect()
+    assert G.lineage_levels(versions.limit(0), spark.createDataFrame([], "parent long, child long")).collect() == []
+
+
+def test_assigned_paths(spark):
+    cases = [('{"k":1}', '{"k":1,"a":{"b":7}}'), ('{"a":{"c":2}}', '{"a":{"c":2,"b":7}}'), ('{"a":3,"z":4}', '{"z":4,"a":{"b":7}}'), ("[1]", '{"a":{"b":7}}'), ("", '{"a":{"b":7}}'), (None, '{"a":{"b":7}}')]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "i int, t string")
+    got = df.select("i", X.assign_path(F.col("t"), ("a", "b"), F.lit("7")).alias("o")).collect()
+    assert {r["i"]: r["o"] for r in got} == {i: o for i, (_, o) in enumerate(cases)}
+
+
+def test_contamination_report_against_all_pairs(spark):
+    rows = [(1, "the cat sat on the mat today", "train"), (2, "The cat sat on the mat today!", "test"), (3, "a quite different line of text", "train"), (4, "a quite different line of texts", "train"), (5, "alone", None), (6, "", "test"), (7, None, None), (8, "the cat sat on the mat today", None)]
+
+    def similarity(a, b):
+        x, y = T_plain(a), T_plain(b)
+        s, t = set(x.split()), set(y.split())
+        return 0.0 if not s or not t else max(len(s & t) / len(s | t), difflib.SequenceMatcher(None, x, y, autojunk=False).ratio())
+
+    def T_plain(t):
+        return norm[t]
+
+    texts = spark.createDataFrame([(i, t) for i, t, _ in rows], "i long, t string")
+    said = {r["i"]: r["n"] for r in texts.select("i", T.normalise(F.coalesce("t", F.lit(""))).alias("n")).collect()}
+    norm = {t: said[i] for i, t, _ in rows}
+    cluster = {i: i for i, _, _ in rows}
+    for _ in rows:
+        for (i, a, _), (j, b, _) in combinations(rows, 2):
+            if norm[a] == norm[b] or similarity(a, b) >= 0.9:
+                cluster[i] = cluster[j] = min(cluster[i], cluster[j])
+    df = spark.createDataFrame(rows, "k long, t string, split string")
+    got = {r["cluster"]: (r["rows"], r["texts"], r["splits"], r["exact_duplicate"], r["cross_split"]) for r in G.contamination_report(df, "k", "t", "split").collect()}
+    want = {}
+    for c in set(cluster.values()):
+        own = [r for r in rows if cluster[r[0]] == c]
+        n, splits = len({norm[t] for _, t, _ in own}), len({s for _, _, s in own if s})
+        want[c] = (len(own), n, splits, n == 1 and len(own) > 1, splits > 1)
+    assert got == want
