@@ -55,9 +55,9 @@ from e"""
 )
 def step_reward_allocation(spark, sf_dir):
     items, orders = load(spark, sf_dir, "lineitem"), load(spark, sf_dir, "orders")
-    rows = items.join(orders, items.l_orderkey == orders.o_orderkey).select(
-        F.col("l_orderkey").alias("run_id"), (F.col("l_partkey") % 3).alias("rule_id"), F.col("l_linenumber").alias("position"), (-F.round(F.col("o_totalprice") / 1000000, 6)).alias("rule_reward_delta")
-    )
+    # As the SQL rounds: the scaled double itself. F.round with a scale rounds its shortest decimal form, which is half up where the double is just under a half.
+    delta = -(F.round(F.col("o_totalprice") / 1000000 * 1000000.0) / 1000000.0)
+    rows = items.join(orders, items.l_orderkey == orders.o_orderkey).select(F.col("l_orderkey").alias("run_id"), (F.col("l_partkey") % 3).alias("rule_id"), F.col("l_linenumber").alias("position"), delta.alias("rule_reward_delta"))
     return D.step_rewards(rows).select("run_id", "rule_id", "position", "attribution_count", "allocation_index", "reward_micros")
 
 

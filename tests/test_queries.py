@@ -44,6 +44,19 @@ def test_query(spark, duck, name):
     assert got == sorted((tuple(plain(dict(zip(names, r, strict=True))[c]) for c in columns) for r in rows), key=repr)
 
 
+def test_step_reward_allocation_rounds_as_its_sql(spark, tmp_path):
+    # Prices that end in .50: a sixth decimal that is half, or just under or over it, as a double.
+    con = duckdb.connect()
+    con.execute(f"copy (select i as o_orderkey, i + 0.5::double as o_totalprice from range(0, 300000, 7) t(i)) to '{tmp_path}/orders.parquet'")
+    con.execute(f"copy (select i as l_orderkey, i % 11 as l_partkey, n::integer as l_linenumber from range(0, 300000, 7) t(i), range(1, 4) u(n)) to '{tmp_path}/lineitem.parquet'")
+    for name in ("orders", "lineitem"):
+        con.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet'")
+    got = registry.QUERIES["step_reward_allocation"](spark, str(tmp_path)).toArrow()  # noqa: F841
+    want = registry.ORACLES["step_reward_allocation"]
+    assert con.execute(f"select count(*) from (({want}) except all select run_id, rule_id, position, attribution_count, allocation_index, reward_micros from got)").fetchone() == (0,)
+    assert len(got) == con.execute(f"select count(*) from ({want})").fetchone()[0]
+
+
 def test_entry(spark):
     import __spark_entry__
 
