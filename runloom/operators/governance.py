@@ -71,18 +71,90 @@ def jaccard_pairs(left: DataFrame, right: DataFrame | None, key: str, threshold:
 
 
 #: Texts of one side of a tile that compares texts of like lengths.
-TILE = 1024
+TILE = 512
+#: Partitions that tiles are dealt to.
+TILE_PARTITIONS = 64
+#: Lengths of the runs of characters that are counted for a pair's bound, and classes that each length's runs are counted in.
+RUNS = ((3, 4096), (4, 8192))
+
+
+def _runs(codes: list[np.ndarray], q: int, classes: int) -> np.ndarray:
+    """(classes, texts): how many runs of ``q`` characters of each text fall in each class."""
+    out = np.zeros((classes, len(codes)), np.int32)
+    for k, c in enumerate(codes):
+        if len(c) >= q:
+            h = np.zeros(len(c) - q + 1, np.uint64)
+            for s in range(q):
+                h = h * np.uint64(0x9E3779B97F4A7C15) + c[s : len(c) - q + 1 + s]
+            out[:, k] = np.bincount((h >> np.uint64(40)).astype(np.int64) % classes, minlength=classes)
+    return out
+
+
+def common_subsequences(codes: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Lengths of the longest common subsequences of the texts numbered ``a`` and ``b``, pair by pair.
+
+    A row of each pair's table is bits of 64-bit words (Hyyrö, 2004); all pairs take a step together.
+    """
+    order = np.argsort([-len(codes[k]) for k in b], kind="stable")
+    a, b = a[order], b[order]
+    own, place = np.unique(a, return_inverse=True)
+    letters = np.unique(np.concatenate([codes[k] for k in own]))
+    words = -(-max(len(codes[k]) for k in own) // 64)
+    # The last letter is one that no own text holds.
+    masks = np.zeros((words, len(own), len(letters) + 1), np.uint64)
+    for n, k in enumerate(own):
+        at = np.arange(len(codes[k]))
+        np.bitwise_or.at(masks, (at // 64, n, np.searchsorted(letters, codes[k])), np.uint64(1) << (at % 64).astype(np.uint64))
+    masks = masks.reshape(words, -1)
+    met, spot = np.unique(b, return_inverse=True)
+    steps = np.full((max(len(codes[k]) for k in met), len(met)), len(letters), np.int32)
+    for n, k in enumerate(met):
+        c = np.minimum(np.searchsorted(letters, codes[k]), len(letters) - 1)
+        steps[: len(c), n] = np.where(letters[c] == codes[k], c, len(letters))
+    sizes = np.array([len(codes[k]) for k in b])
+    base = place * (len(letters) + 1)
+    rows = np.full((words, len(a)), np.iinfo(np.uint64).max)
+    for step in range(len(steps)):
+        n = int(np.searchsorted(-sizes, -step))  # texts that are longer than step
+        at = base[:n] + steps[step, spot[:n]]
+        carry = np.zeros(n, np.uint64)
+        for w in range(words):
+            row = rows[w, :n]
+            u = row & masks[w].take(at)
+            one = row + u
+            both = one + carry
+            carry = ((one < u) | (both < one)).astype(np.uint64)
+            np.bitwise_or(both, row ^ u, out=row)
+    out = np.empty(len(a), np.int64)
+    out[order] = 64 * words - np.bitwise_count(rows).sum(axis=0, dtype=np.int64)
+    return out
+
+
+#: Pairs of a tile whose common subsequences are found together.
+TOGETHER = 8192
 
 
 def _ratio_links(threshold: float):
-    """A tile (home, band, own, key, comp, n) to links (a, b) of texts whose matching-blocks ratio is ``threshold`` at least, as they join its components."""
+    """A tile (home, band, own, key, comp, n) to links (a, b) of texts whose matching-blocks ratio is ``threshold`` at least, as they join its components.
+
+    Only pairs that upper bounds allow are matched. With s characters in both
+    texts, m = t * s / 2 of each match or more, so the counts of characters and the
+    longest common subsequence reach m. Between two blocks lies a character that
+    does not match, so there are (1 - t) * s + 1 blocks at most, each of which
+    shares all its runs of q characters but q - 1.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         home, band, own, key, comp, text = (table.column(c).to_pylist() for c in ("home", "band", "own", "key", "comp", "n"))
+        codes = [np.frombuffer(t.encode("utf-32-le"), np.uint32) for t in text]
         size = np.array([len(t) for t in text])
-        # Characters counted in 64 classes: the sum of the lesser counts bounds what can match.
-        counts = np.array([np.bincount(np.frombuffer(t.encode("utf-32-le"), np.uint32) % 64, minlength=64) for t in text], np.int32)
+        # Classes of characters and of their runs: the sum of the lesser counts bounds what can match.
+        counts = np.array([np.bincount(c % 64, minlength=64) for c in codes], np.int32)
+        runs = [(q, _runs([c.astype(np.uint64) for c in codes], q, classes)) for q, classes in RUNS]
+        order, group = (np.unique(np.array(x), return_inverse=True)[1] for x in (key, comp))
         left, right = (np.flatnonzero(np.array(home) == side) for side in (True, False))
+        # Pairs of one band are met once, from the smaller key.
+        late = np.array(own)[right] != np.array(band)[right]
         root: dict = {}
 
         def find(x):
@@ -91,21 +163,41 @@ def _ratio_links(threshold: float):
             return x
 
         links = []
-        for i in left.tolist():
-            both = size[i] + size[right]
-            fits = 2 * np.minimum(size[i], size[right]) >= threshold * both - 1e-9
-            near = right[fits]
-            match = np.minimum(counts[i], counts[near]).sum(axis=1)
-            for j in near[2 * match >= threshold * both[fits] - 1e-9].tolist():
-                if own[j] == band[j] and key[j] <= key[i]:
-                    continue
-                x, y = find(comp[i]), find(comp[j])
-                if x == y:
+
+        def match(i: np.ndarray, j: np.ndarray) -> None:
+            apart = np.array([find(comp[x]) != find(comp[y]) for x, y in zip(i.tolist(), j.tolist(), strict=True)], bool)
+            i, j = i[apart], j[apart]
+            if len(i):
+                near = 2 * common_subsequences(codes, i, j) >= threshold * (size[i] + size[j]) - 1e-9
+                i, j = i[near], j[near]
+            for x, y in zip(i.tolist(), j.tolist(), strict=True):
+                p, q = find(comp[x]), find(comp[y])
+                if p == q:
                     continue
-                a, b = (i, j) if key[i] < key[j] else (j, i)
+                a, b = (x, y) if key[x] < key[y] else (y, x)
                 if difflib.SequenceMatcher(None, text[a], text[b], autojunk=False).ratio() >= threshold:
-                    root[y] = x
+                    root[q] = p
                     links.append((key[a], key[b]))
+
+        held, n = [], 0
+        for i in left.tolist():
+            both = size[i] + size[right]
+            fits = (2 * np.minimum(size[i], size[right]) >= threshold * both - 1e-9) & (late | (order[right] > order[i])) & (group[right] != group[i])
+            near, both = right[fits], both[fits]
+            fits = 2 * np.minimum(counts[i], counts[near]).sum(axis=1) >= threshold * both - 1e-9
+            near, both = near[fits], both[fits]
+            for q, of in runs:
+                least = threshold * both / 2 - (q - 1) * ((1 - threshold) * both + 1)
+                mine = np.flatnonzero(of[:, i])
+                fits = np.minimum(of[mine[:, None], near], of[mine, i][:, None]).sum(axis=0) >= least - 1e-9
+                near, both = near[fits], both[fits]
+            held.append((np.full(len(near), i), near))
+            n += len(near)
+            if n >= TOGETHER:
+                match(*(np.concatenate(x) for x in zip(*held, strict=True)))
+                held, n = [], 0
+        if n:
+            match(*(np.concatenate(x) for x in zip(*held, strict=True)))
         return pa.table([pa.array([x[k] for x in links], table.schema.field("key").type) for k in (0, 1)], names=["a", "b"])
 
     return run
@@ -117,7 +209,8 @@ def ratio_links(texts: DataFrame, threshold: float) -> DataFrame:
     A ratio of t needs lengths within t / (2 - t) of each other. Lengths are
     dealt to bands of that width, so such texts are in one band or in
     neighbours; bands are compared in tiles, and only pairs of different
-    components whose characters allow the ratio are matched.
+    components whose characters, runs of characters and common subsequence allow
+    the ratio are matched.
     """
     narrow = threshold / (2 - threshold)
     if narrow <= 0:
@@ -138,6 +231,8 @@ def ratio_links(texts: DataFrame, threshold: float) -> DataFrame:
 
     met = placed(rows.withColumn("band", F.col("own")), True).unionAll(placed(other, False))
     kind = texts.schema["key"].dataType.simpleString()
+    # A tile is few bytes and much work: the number of partitions is given, so that Spark does not merge them by size.
+    met = met.repartition(TILE_PARTITIONS, "band", "i", "j")
     return met.groupBy("band", "i", "j").applyInArrow(_ratio_links(threshold), f"a {kind}, b {kind}")
 
 

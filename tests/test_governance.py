@@ -263,3 +263,22 @@ def test_contamination_report_against_all_pairs(spark):
         n, splits = len({norm[t] for _, t, _ in own}), len({s for _, _, s in own if s})
         want[c] = (len(own), n, splits, n == 1 and len(own) > 1, splits > 1)
     assert got == want
+
+
+def test_ratio_links_match_only_what_bounds_allow(monkeypatch):
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    parts = ["th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ha", "at", "en", "es", "of", "or", "nt", "ea", "ti", "to", "it"]
+    texts = [" ".join("".join(rng.choices(parts, k=rng.randint(1, 3))) for _ in range(30)) for _ in range(100)]
+    texts += [t[:k] + "x" + t[k + 5 :] for t in texts[:20] for k in (10, 70)]
+    want = {(a, b) for a in range(len(texts)) for b in range(a + 1, len(texts)) if difflib.SequenceMatcher(None, texts[a], texts[b], autojunk=False).ratio() >= 0.9}
+    calls = []
+    real = difflib.SequenceMatcher
+    monkeypatch.setattr(G.difflib, "SequenceMatcher", lambda *x, **k: calls.append(x) or real(*x, **k))
+    rows = [(0, 0, 0, home, 0, k, k, t) for k, t in enumerate(texts) for home in (True, False)]
+    links = G._ratio_links(0.9)(pa.table([pa.array(c) for c in zip(*rows, strict=True)], names=["band", "i", "j", "home", "own", "key", "comp", "n"])).to_pylist()
+    assert {(x["a"], x["b"]) for x in links} <= want
+    # Every original is joined with its two changed copies.
+    assert len(links) == 40
+    assert len(calls) <= 2 * len(want)
