@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -74,6 +75,12 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of results that are gone, which else stay on disk until the driver happens to collect its garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one driver table; a directory or a single file."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -196,3 +196,21 @@ def test_last_round_with_an_unused_partition(spark):
     links = D.dealt(few, plan, "shingles").transform(D.arrow_map, D._block_links(1, 0.8, plan), "a long, b long").collect()
     brute = [(a, b) for (a, x), (b, y) in combinations(zip(signed, fps), 2) if (x ^ y).bit_count() <= 1 and D.overlap(sets[x], sets[y]) >= 0.8]
     assert groups(signed, [tuple(r) for r in links]) == groups(signed, brute) and brute
+
+
+def test_probes_are_rows_and_not_expressions(spark):
+    plan = [(list(range(0, 12)), 2), (list(range(12, 40)), -1), (list(range(40, 64)), 1)]
+    fps = [0, 5, -1, 1 << 41, -(2**63)]
+    nodes = spark.createDataFrame([(f, f, [f]) for f in fps], "fp long, comp long, failed array<long>")
+    out = D.dealt(nodes, plan, "failed")
+    want = set()
+    for i, (bits, t) in enumerate(plan):
+        homes = {f & D._mask(bits) for f in fps} if t >= 0 else set()
+        flips = D._flips(bits, t) if t >= 0 else []
+        # Only buckets in which some fingerprint is at home are visited.
+        want |= {(i, (f & D._mask(bits)) ^ x, k > 0, f) for f in fps for k, x in enumerate(flips) if (f & D._mask(bits)) ^ x in homes}
+    rows = out.collect()
+    assert {(r["i"], r["value"], r["visit"], r["fp"]) for r in rows} == want and len(rows) == len(want)
+    assert all(r["block"] == 0 and r["comp"] == r["fp"] and r["failed"] == [r["fp"]] for r in rows)
+    # 79 + 25 flips; before, each was a struct in the plan of the driver.
+    assert out._jdf.queryExecution().analyzed().toString().count("struct(") <= len(plan)
